@@ -116,9 +116,11 @@ def to_number(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def bin_index(value: Column, inner_edges: Sequence[float]) -> Column:
+def bin_index(value: Column, inner_edges: Sequence[float], *, closed: bool = True) -> Column:
     """Zero-based bin of a non-missing value: how many inner edges are ``<=`` it.
 
+    ``closed=False`` counts the edges strictly below the value instead.
+
     A balanced CASE tree, so a value costs ``log2(edges)`` comparisons in generated code.
     """
     if not inner_edges:
@@ -128,9 +130,9 @@ def bin_index(value: Column, inner_edges: Sequence[float]) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        return F.when(value < F.lit(inner_edges[middle]), build(low, middle)).otherwise(
-            build(middle + 1, high)
-        )
+        edge = F.lit(inner_edges[middle])
+        left = value < edge if closed else value <= edge
+        return F.when(left, build(low, middle)).otherwise(build(middle + 1, high))
 
     return F.when(value.isNotNull(), build(0, len(inner_edges)))
 

@@ -15,12 +15,13 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.columns import flag, to_number
+from riskframe.functions.columns import bin_index, to_number
 from riskframe.session import ensure_checkpoint_dir
 
-EXACT_PERCENTILE_ROWS = 1_000_000  # built-in exact percentile keeps a value map per column
+EXACT_PERCENTILE_ROWS = 200_000  # built-in exact percentile keeps a value map per column
 FINAL_INTERVAL_ROWS = 10_000  # values sorted inside one aggregate buffer
-SKETCH_ACCURACY = 100_000
+SKETCH_ACCURACY = 10_000
+LARGE_SKETCH_ACCURACY = 100_000
 MAX_CASE_GROUPS = 64  # groups resolved by a CASE instead of a small join
 HEX_DIGITS_PER_LEVEL = 3
 
@@ -49,53 +50,93 @@ class _Target:
     inside: int = 0  # rows strictly inside
     value: float | None = None
 
-    def inner(self) -> Column:
-        value = to_number(F.col(f"`{self.column}`"))
-        checks = [value.isNotNull()]
-        if self.low is not None:
-            checks.append(value > F.lit(self.low))
-        if self.high is not None:
-            checks.append(value < F.lit(self.high))
-        return F.when(reduce(lambda a, b: a & b, checks), value)
-
-
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
-    """One sketch job and one counting job for all open targets."""
+    @property
+    def interval(self) -> tuple:
+        return self.column, self.low, self.high
+
+    def resolve(self, bounds: Sequence[float], less: Sequence[int], equal: Sequence[int]) -> None:
+        """Use counts inside the interval: ``less[i]`` rows under ``bounds[i]``, ``equal[i]`` on it."""
+        offset = self.rank - self.below
+        for bound, under, on in zip(bounds, less, equal):
+            if offset < under:
+                # between the previous bound and this one
+                self.high, self.inside = bound, self.inside_until(under)
+                return
+            if offset < under + on:
+                self.value = bound
+                return
+            self.low = bound
+            self._passed = under + on
+        self.inside = self.inside_until(None)
+
+    _passed: int = 0
+
+    def inside_until(self, under: int | None) -> int:
+        """Close the step: move the lower end and return how many rows remain inside."""
+        remaining = (self.inside if under is None else under) - self._passed
+        self.below += self._passed
+        self._passed = 0
+        return remaining
+
+
+def _inner(interval: tuple) -> Column:
+    """The column where it lies strictly inside the interval, NULL elsewhere."""
+    column, low, high = interval
+    value = F.col(f"`{column}`")
+    inside = value.isNotNull()
+    if low is not None:
+        inside = inside & (value > F.lit(low))
+    if high is not None:
+        inside = inside & (value < F.lit(high))
+    return F.when(inside, value)
+
+
+def _narrow(numbers: DataFrame, targets: Sequence[_Target]) -> None:
+    """One sketch job and one counting job for all open intervals."""
+    groups: dict[tuple, list[_Target]] = {}
+    for target in targets:
+        groups.setdefault(target.interval, []).append(target)
+    intervals = list(groups)
     sketches = []
-    for i, target in enumerate(targets):
-        position = (target.rank - target.below) / max(target.inside - 1, 1)
-        margin = 2.0 / SKETCH_ACCURACY
-        around = [max(0.0, position - margin), min(1.0, position + margin)]
-        sketches.append(F.percentile_approx(target.inner(), around, SKETCH_ACCURACY).alias(f"s{i}"))
-    bounds = df.agg(*sketches).first()
-    counts = []
-    for i, target in enumerate(targets):
-        low, high = bounds[f"s{i}"]
-        value = target.inner()
-        for name, predicate in (
-            ("lt_low", value < F.lit(low)),
-            ("le_low", value <= F.lit(low)),
-            ("lt_high", value < F.lit(high)),
-            ("le_high", value <= F.lit(high)),
-        ):
-            counts.append(sum_or_zero(flag(predicate)).alias(f"{name}{i}"))
-    row = df.agg(*counts).first()
-    for i, target in enumerate(targets):
-        low, high = bounds[f"s{i}"]
-        lt_low, le_low = row[f"lt_low{i}"], row[f"le_low{i}"]
-        lt_high, le_high = row[f"lt_high{i}"], row[f"le_high{i}"]
-        offset = target.rank - target.below
-        if lt_low <= offset < le_low:
-            target.value = low
-        elif lt_high <= offset < le_high:
-            target.value = high
-        elif offset < lt_low:
-            target.high, target.inside = low, lt_low
-        elif offset >= le_high:
-            target.low, target.below, target.inside = high, target.below + le_high, target.inside - le_high
-        else:
-            target.low, target.high = low, high
-            target.below, target.inside = target.below + le_low, lt_high - le_low
+    for i, interval in enumerate(intervals):
+        rows = max(t.inside for t in groups[interval])
+        accuracy = SKETCH_ACCURACY if rows <= SKETCH_ACCURACY * 2_500 else LARGE_SKETCH_ACCURACY
+        margin = 2.0 / accuracy
+        around = set()
+        for t in groups[interval]:
+            position = (t.rank - t.below) / max(t.inside - 1, 1)
+            around.update((max(0.0, position - margin), min(1.0, position + margin)))
+        sketches.append(F.percentile_approx(_inner(interval), sorted(around), accuracy).alias(f"s{i}"))
+    found = numbers.agg(*sketches).first()
+    bounds = [sorted(set(found[f"s{i}"])) for i in range(len(intervals))]
+
+    values = numbers.select(*[_inner(interval).alias(f"v{i}") for i, interval in enumerate(intervals)])
+    # cells alternate between "under the next bound" (even) and "on a bound" (odd)
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("interval"),
+                (
+                    bin_index(F.col(f"v{i}"), ends) + bin_index(F.col(f"v{i}"), ends, closed=False)
+                ).alias("cell"),
+            )
+            for i, ends in enumerate(bounds)
+        ]
+    )
+    counted = (
+        values.select(F.inline(cells)).filter(F.col("cell").isNotNull())
+        .groupBy("interval", "cell").agg(F.count("*").alias("n")).collect()
+    )
+    cell_counts = {(row.interval, row.cell): row.n for row in counted}
+    for i, interval in enumerate(intervals):
+        less, equal, running = [], [], 0
+        for j in range(len(bounds[i])):
+            running += cell_counts.get((i, 2 * j), 0)
+            less.append(running)
+            equal.append(cell_counts.get((i, 2 * j + 1), 0))
+            running += equal[-1]
+        for target in groups[interval]:
+            target.resolve(bounds[i], less, equal)
 
 
 def order_statistics(
@@ -107,6 +148,7 @@ def order_statistics(
     every interval by orders of magnitude. Repeated values cannot stall it, because interval ends
     are data values and are resolved or excluded in every round.
     """
+    numbers = df.select(*[to_number(F.col(f"`{c}`")).alias(c) for c in ranks])
     targets = [
         _Target(column, rank, inside=counts[column])
         for column, wanted in ranks.items()
@@ -116,14 +158,16 @@ def order_statistics(
         wide = [t for t in targets if t.value is None and t.inside > FINAL_INTERVAL_ROWS]
         if not wide:
             break
-        _narrow(df, wide)
+        _narrow(numbers, wide)
     rest = [t for t in targets if t.value is None]
     if rest:
+        intervals = list({t.interval: None for t in rest})
+        lists = [F.sort_array(F.collect_list(_inner(interval))).alias(f"l{i}") for i, interval in enumerate(intervals)]
         picks = [
-            F.element_at(F.sort_array(F.collect_list(t.inner())), F.lit(t.rank - t.below + 1)).alias(f"v{i}")
+            F.element_at(F.col(f"l{intervals.index(t.interval)}"), t.rank - t.below + 1).alias(f"v{i}")
             for i, t in enumerate(rest)
         ]
-        row = df.agg(*picks).first()
+        row = numbers.agg(*lists).select(*picks).first()
         for i, target in enumerate(rest):
             target.value = row[f"v{i}"]
     return {(t.column, t.rank): t.value for t in targets}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Any, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -119,10 +119,11 @@ def _explain_batches(leaves: list, feature_count: int, carried: Sequence[str]):
     features use a table over all outcomes.
     """
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from math import factorial
 
         import numpy as np
+        import pyarrow as pa
 
         def leaf_values(outcomes, zeros, value):
             # outcomes: (patterns, d) of 0/1; returns contributions (patterns, d)
@@ -148,9 +149,11 @@ def _explain_batches(leaves: list, feature_count: int, carried: Sequence[str]):
             return ok
 
         tables = {}
-        for pdf in batches:
-            matrix = np.array(pdf[VALUES].tolist(), dtype=float).reshape(len(pdf), feature_count)
-            total = np.zeros((len(pdf), feature_count))
+        for batch in batches:
+            rows = batch.num_rows
+            flat = batch.column(batch.schema.get_field_index(VALUES)).flatten()
+            matrix = np.ascontiguousarray(flat.to_numpy(zero_copy_only=False).reshape(rows, feature_count).T).T
+            total = np.zeros((rows, feature_count))
             for index, (value, path) in enumerate(leaves):
                 d = len(path)
                 if d == 0:
@@ -168,9 +171,9 @@ def _explain_batches(leaves: list, feature_count: int, carried: Sequence[str]):
                     unique, inverse = np.unique(hits, axis=0, return_inverse=True)
                     found = leaf_values(unique.astype(float), zeros, value)[inverse.reshape(-1)]
                 total[:, features] += found
-            out = pdf[list(carried)].copy()
-            out[CONTRIBUTIONS] = list(total)
-            yield out
+            offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * feature_count)
+            contributions = pa.ListArray.from_arrays(offsets, pa.array(total.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, contributions], [*carried, CONTRIBUTIONS])
 
     return explain
 
@@ -188,7 +191,7 @@ def tree_contributions(df: DataFrame, model: Any, features_column: str = "featur
         list(with_values.schema.fields) + [T.StructField(CONTRIBUTIONS, T.ArrayType(T.DoubleType()))]
     )
     explain = _explain_batches(leaves, model.numFeatures, with_values.columns)
-    return with_values.mapInPandas(explain, schema).withColumn(BASE, F.lit(_expected_value(leaves)))
+    return with_values.mapInArrow(explain, schema).withColumn(BASE, F.lit(_expected_value(leaves)))
 
 
 class ShapResult:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.ranking import sum_or_zero
 
 MAX_BROADCAST_HASHES = 1_000_000  # 8 bytes each
+NARROW_COLUMNS = 4  # rows of so few columns are not worth hashing
 
 
 def _beyond_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -21,18 +22,23 @@ def _beyond_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def duplicate_row_count(df: DataFrame, *, direct: bool = False) -> int:
     """Rows beyond the first occurrence of an identical row (missing equals missing).
 
-    Shuffles 8-byte row hashes first; only rows whose hash repeats are compared in full. Without
-    repeated hashes there is nothing more to do. With very many of them (or ``direct=True``) the
-    full-row grouping is used, where equal rows are combined before the shuffle.
+    Wide rows shuffle as 8-byte hashes first; only rows whose hash repeats are compared in full,
+    and without repeated hashes there is nothing more to do. Narrow rows, or very many repeated
+    hashes, use the full-row grouping, where equal rows are combined before the shuffle.
     """
-    if not direct:
+    if not direct and len(df.columns) > NARROW_COLUMNS:
         digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h")
-        repeated = df.select(digest).groupBy("__h").agg(F.count("*").alias("__n")).filter("__n > 1").select("__h")
-        suspects = repeated.count()
-        if suspects == 0:
-            return 0
-        if suspects <= MAX_BROADCAST_HASHES:
-            df = df.select("*", digest).join(F.broadcast(repeated), "__h", "left_semi").drop("__h")
+        hashes = df.select(digest).groupBy("__h").agg(F.count("*").alias("__n"))
+        repeated = hashes.filter("__n > 1").select("__h").persist()
+        try:
+            suspects = repeated.count()
+            if suspects == 0:
+                return 0
+            if suspects <= MAX_BROADCAST_HASHES:
+                checked = df.select("*", digest).join(F.broadcast(repeated), "__h", "left_semi").drop("__h")
+                return int(_beyond_first(checked, df.columns).first()[0])
+        finally:
+            repeated.unpersist()
     return int(_beyond_first(df, df.columns).first()[0])
 
 

@@ -191,17 +191,18 @@ class TabularPreprocessor:
         columns = self.categorical_columns
         if not columns:
             return {}, {}
-        counts = category_counts(df, columns)
-        if counts.count() > MAX_MODEL_CATEGORIES:
+        # bounded by the check below; a model cannot carry more labels anyway
+        counted = category_counts(df, columns).limit(MAX_MODEL_CATEGORIES + 1).collect()
+        if len(counted) > MAX_MODEL_CATEGORIES:
             raise ValueError(
                 f"more than {MAX_MODEL_CATEGORIES} categories cannot be carried by a model; "
                 "exclude identifier-like columns or use encode_with_vocabulary"
             )
         fills = {c: CONSTANT_CATEGORY for c in columns}
-        if self.categorical_impute_strategy == "most_frequent":
-            fills.update({r.feature: r.value for r in most_frequent(counts).collect()})
         labels: dict[str, list[str]] = {c: [] for c in columns}
-        for row in counts.select("feature", "value").collect():
+        for row in sorted(counted, key=lambda r: (-r.n, r.value)):
+            if not labels[row.feature] and self.categorical_impute_strategy == "most_frequent":
+                fills[row.feature] = row.value
             labels[row.feature].append(row.value)
         if self.categorical_impute_strategy == "constant":
             missing = df.agg(*[F.max(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(columns)]).first()

@@ -82,10 +82,17 @@ class ClassifierModel:
             )
             estimator = estimator.setValidationIndicatorCol("__valid")
         cached = data.persist()
+        spread = None
         try:
-            self.model = estimator.fit(cached)
+            parallelism = train.sparkSession.sparkContext.defaultParallelism
+            if cached.rdd.getNumPartitions() < parallelism:
+                # a table of few files would leave executors idle in every iteration
+                spread = cached.repartition(parallelism).persist()
+            self.model = estimator.fit(cached if spread is None else spread)
         finally:
             cached.unpersist()
+            if spread is not None:
+                spread.unpersist()
         return self
 
     def _label_index(self, label_column: str) -> Column:

@@ -24,6 +24,8 @@ def build_session(app_name: str = "riskframe", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # the JVM never compiles methods above this size: let Spark split such projections instead
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
