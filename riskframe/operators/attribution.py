@@ -269,7 +269,7 @@ class ShapResult:
         exploded = (
             self.frame.withColumn("ranked", ranked)
             .withColumn("bars", bars)
-            .select(*id_columns, BASE, "bars", F.posexplode("bars").alias("position", "bar"))
+            .select(*id_columns, BASE, "bars", F.posexplode_outer("bars").alias("position", "bar"))
         )
         before = F.aggregate(
             F.slice(F.col("bars"), F.lit(1), F.col("position")), F.col(BASE), lambda a, s: a + s["contribution"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.columns import finite_or_null, recode
+from riskframe.operators.duplicates import drop_duplicate_rows
 
 # --- fixed values: category recodes and leakage columns ---------------------------------
 CATEGORY_RECODES = {
@@ -84,11 +85,15 @@ def auto_detect_column_types(
     return numeric, categorical
 
 
-def preprocess_dataset(df: DataFrame, *, drop_duplicates: bool = True) -> DataFrame:
-    """Normalize names, fold infinities into NULL, drop duplicate rows, recode categories."""
+def preprocess_dataset(df: DataFrame, *, drop_duplicates: bool = True, hash_first: bool = False) -> DataFrame:
+    """Normalize names, fold infinities into NULL, drop duplicate rows, recode categories.
+
+    Lazy by default. ``hash_first=True`` looks for duplicates by row hash at once, which spares
+    large tables with few duplicates the shuffle of whole rows.
+    """
     result = infinities_to_missing(normalize_column_names(df))
     if drop_duplicates:
-        result = result.dropDuplicates()
+        result = drop_duplicate_rows(result) if hash_first else result.dropDuplicates()
     return clean_categorical_variables(result)
 
 

@@ -42,6 +42,29 @@ def duplicate_row_count(df: DataFrame, *, direct: bool = False) -> int:
     return int(_beyond_first(df, df.columns).first()[0])
 
 
+def drop_duplicate_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows, moving only rows that may have a copy.
+
+    Counts 8-byte row hashes first. Rows with a unique hash are distinct and pass through where
+    they are; only the others are grouped. Falls back to the full-row grouping when very many
+    hashes repeat. Unlike ``dropDuplicates`` this runs a job at once.
+    """
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h")
+    hashes = df.select(digest).groupBy("__h").agg(F.count("*").alias("__n"))
+    repeated = hashes.filter("__n > 1").select("__h").persist()
+    suspects = repeated.count()
+    if suspects == 0:
+        repeated.unpersist()
+        return df
+    if suspects > MAX_BROADCAST_HASHES:
+        repeated.unpersist()
+        return df.dropDuplicates()
+    hashed = df.select("*", digest)
+    unique = hashed.join(F.broadcast(repeated), "__h", "left_anti").drop("__h")
+    copies = hashed.join(F.broadcast(repeated), "__h", "left_semi").drop("__h").dropDuplicates()
+    return unique.unionByName(copies)
+
+
 def duplicate_id_counts(df: DataFrame, id_columns: Sequence[str]) -> dict[str, int]:
     """Per identifier column, values after their first occurrence (NULL counts as a value)."""
     if not id_columns:

@@ -23,6 +23,7 @@ CATEGORICAL_STRATEGIES = ("most_frequent", "constant")
 ENCODINGS = ("ordinal", "onehot")
 MAX_MODEL_CATEGORIES = 1_000_000  # labels a fitted model may carry to the executors
 WINDOW_CODE_ROWS = 1_000_000  # distinct categories numbered by a plain window
+MAX_BROADCAST_CODES = 1_000_000  # vocabulary entries sent to every executor
 
 
 def numeric_fill_values(df: DataFrame, columns: Sequence[str], strategy: str) -> dict[str, float]:
@@ -79,13 +80,19 @@ def vocabulary(df: DataFrame, columns: Sequence[str], *, counts: DataFrame | Non
 def encode_with_vocabulary(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Left lookup of every categorical column; unknown and missing become -1.
 
-    Works for vocabularies of any size: the join side is chosen by its measured size.
+    A vocabulary of counted, bounded size is broadcast, so the rows stay where they are; a larger
+    one is joined by shuffle (adaptive execution splits hot categories).
     """
     result = df
+    codes = codes.persist()
+    small = codes.count() <= MAX_BROADCAST_CODES
+    if not small:
+        codes.unpersist()
     for i, name in enumerate(columns):
         lookup = codes.filter(F.col("feature") == name).select(
             F.col("value").alias(f"__value{i}"), F.col("code").alias(f"__code{i}")
         )
+        lookup = F.broadcast(lookup) if small else lookup
         result = (
             result.join(lookup, F.col(f"`{name}`").cast("string") == F.col(f"__value{i}"), "left")
             .withColumn(f"{name}{suffix}", F.coalesce(F.col(f"__code{i}"), F.lit(UNKNOWN_CODE)).cast("long"))

@@ -64,12 +64,11 @@ def _bucketed(counts: DataFrame, bounded: bool) -> DataFrame:
     return counts.withColumn("bucket", bin_index(F.col("score"), splitters))
 
 
-def ranking_sums(counts: DataFrame, by: Sequence[str] = (), *, bounded: bool = True) -> DataFrame:
-    """Per subgroup ``roc_auc`` and ``avg_precision`` from distinct-score counts.
+def running_counts(counts: DataFrame, by: Sequence[str] = (), *, bounded: bool = True) -> DataFrame:
+    """Distinct-score counts with running and total counts, from the highest score down.
 
-    Running totals in two levels: totals per bucket are accumulated over at most a few hundred
-    buckets, then scores are accumulated inside each bucket only. Ties count half for the ROC
-    area; the precision average uses steps.
+    Two levels instead of one window over all scores: totals per bucket are accumulated over at
+    most about a thousand buckets, then scores are accumulated inside each bucket only.
     """
     keys = list(by)
     bucketed = _bucketed(counts, bounded)
@@ -88,21 +87,30 @@ def ranking_sums(counts: DataFrame, by: Sequence[str] = (), *, bounded: bool = T
     inside = Window.partitionBy(*keys, "bucket").orderBy(F.desc("score")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    running = joined.withColumns(
+    return joined.withColumns(
         {
             "cum_pos": F.col("pos_above") + F.sum("pos").over(inside),
             "cum_neg": F.col("neg_above") + F.sum("neg").over(inside),
         }
     )
+
+
+def _curve_columns() -> list[Column]:
+    """ROC area (ties count half) and step-wise average precision over running counts."""
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     cum_pos = F.col("cum_pos").cast("double")
     total_pos, total_neg = F.col("total_pos").cast("double"), F.col("total_neg").cast("double")
     area = neg * (cum_pos - pos + pos / 2)
     step = safe_ratio(pos, total_pos) * (cum_pos / (cum_pos + F.col("cum_neg")))
-    return running.groupBy(*keys).agg(
+    return [
         safe_ratio(F.sum(area), F.max(total_pos * total_neg)).alias("roc_auc"),
         F.sum(step).alias("avg_precision"),
-    )
+    ]
+
+
+def ranking_sums(counts: DataFrame, by: Sequence[str] = (), *, bounded: bool = True) -> DataFrame:
+    """Per subgroup ``roc_auc`` and ``avg_precision`` from distinct-score counts."""
+    return running_counts(counts, by, bounded=bounded).groupBy(*by).agg(*_curve_columns())
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -153,7 +161,7 @@ def binary_metrics_wide(
     pos, neg, value = F.col("pos"), F.col("neg"), F.col("score")
     clipped = clip(value, LOG_LOSS_EPSILON, 1 - LOG_LOSS_EPSILON)
     rows = F.sum(pos + neg)
-    sums = counts.groupBy(*keys).agg(
+    sums = running_counts(counts, keys, bounded=decimals is not None).groupBy(*keys).agg(
         rows.alias("rows"),
         F.sum(F.when(chosen, pos).otherwise(0)).alias("tp"),
         F.sum(F.when(chosen, neg).otherwise(0)).alias("fp"),
@@ -161,13 +169,9 @@ def binary_metrics_wide(
         F.sum(F.when(chosen, 0).otherwise(neg)).alias("tn"),
         (F.sum(pos * (value - 1) * (value - 1) + neg * value * value) / rows).alias("brier_score"),
         (-F.sum(pos * F.ln(clipped) + neg * F.ln(1 - clipped)) / rows).alias("log_loss"),
+        *_curve_columns(),
     )
-    ranked = ranking_sums(counts, keys, bounded=decimals is not None)
-    # without subgroups both sides are a single row
-    joined = _join_null_safe(sums, ranked, keys) if keys else _join_null_safe(
-        sums.withColumn("__one", F.lit(1)), ranked.withColumn("__one", F.lit(1)), ["__one"]
-    ).drop("__one")
-    return joined.withColumns(_threshold_columns())
+    return sums.withColumns(_threshold_columns())
 
 
 def binary_metrics(

@@ -35,7 +35,7 @@ def prepare(spark: SparkSession, config: JobConfig) -> PrepareOutcome:
     raw_table = config.table("raw")
     write_table(load_dataset(config.source_path, spark=spark), raw_table, mode=config.write_mode)
     raw = read_table(spark, raw_table)
-    clean = preprocess_dataset(raw)
+    clean = preprocess_dataset(raw, hash_first=True)
     report = DataQualityValidator(
         required_columns=(*config.required_columns, config.target_column),
         target_column=config.target_column,

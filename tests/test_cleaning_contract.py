@@ -111,9 +111,12 @@ def test_duplicate_counts_agree(spark, monkeypatch):
     rows = [(i % 7, str(i % 3), None if i % 2 else 1.5, i % 5, 0.0 if i % 2 else -0.0) for i in range(300)]
     df = spark.createDataFrame(rows, "a long, b string, c double, d long, e double")
     expected = 300 - df.distinct().count()
+    kept = duplicates.drop_duplicate_rows(df.unionByName(df.limit(1).selectExpr("a + 100 AS a", "b", "c", "d", "e")))
+    assert kept.count() == 301 - expected and kept.distinct().count() == 301 - expected
     assert duplicates.duplicate_row_count(df) == duplicates.duplicate_row_count(df, direct=True) == expected
     monkeypatch.setattr(duplicates, "MAX_BROADCAST_HASHES", 1)
     assert duplicates.duplicate_row_count(df) == expected
+    assert duplicates.drop_duplicate_rows(df).count() == 300 - expected
     assert duplicates.duplicate_row_count(df.distinct()) == 0
 
 

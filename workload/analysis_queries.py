@@ -381,7 +381,7 @@ def e11(spark, sf_dir):
     return comparable(M.ranking_sums(counts))
 
 
-_SPLIT_OF = "CASE WHEN patient_id % 5 = 0 THEN 'test' WHEN patient_id % 5 = 1 THEN 'valid' ELSE 'train' END"
+_SPLIT_OF = "CASE WHEN patient_id % 7 = 0 THEN 'test' WHEN patient_id % 7 = 1 THEN 'valid' ELSE 'train' END"
 _SPLIT_SCORES = (
     with_patients("") + f", {SCORED}, base AS (SELECT *, {_SPLIT_OF} AS split FROM scored), "
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskframe import DataQualityValidator, preprocess_dataset
 from riskframe.operators import cleaning
 from riskframe.operators.contract import non_finite_values
-from riskframe.operators.duplicates import duplicate_id_counts, duplicate_row_count
+from riskframe.operators.duplicates import drop_duplicate_rows, duplicate_id_counts, duplicate_row_count
 from riskframe.operators.profile import missing_values
 from riskframe.operators.schema import range_checks
 from riskframe.plans.scoring import join_truth, select_scoring_columns
@@ -209,6 +209,18 @@ def p5(spark, sf_dir):
     return comparable(preprocess_dataset(rows))
 
 
+@register(
+    "u1_distinct_by_hash",
+    "SELECT DISTINCT l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag, l_linestatus FROM lineitem",
+)
+def u1_hash(spark, sf_dir):
+    """Distinct rows when only rows with a repeated hash are moved."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_returnflag", "l_linestatus"
+    )
+    return drop_duplicate_rows(lines)
+
+
 @register("p7_integers_to_double", with_patients("SELECT CAST(patient_id AS DOUBLE) AS patient_id, CAST(age AS DOUBLE) AS age, gender FROM patients"))
 def p7(spark, sf_dir):
     return cleaning.integers_to_double(patients(spark, sf_dir).select("patient_id", "age", "gender"))
