@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import bin_index, to_number
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.session import ensure_checkpoint_dir, local_frame
 
 EXACT_PERCENTILE_ROWS = 200_000  # built-in exact percentile keeps a value map per column
 FINAL_INTERVAL_ROWS = 10_000  # values sorted inside one aggregate buffer
@@ -309,7 +309,7 @@ def _with_need(counted: DataFrame, needs: Mapping[object, int]) -> DataFrame:
     if len(needs) <= MAX_CASE_GROUPS:
         return counted.withColumn("need", _by_group(needs))
     kind = counted.schema["grp"].dataType.simpleString()
-    table = counted.sparkSession.createDataFrame(list(needs.items()), f"need_grp {kind}, need long")
+    table = local_frame(counted.sparkSession, list(needs.items()), f"need_grp {kind}, need long")
     # one row per group, at most the caller's max_groups
     return counted.join(F.broadcast(table), F.col("grp").eqNullSafe(F.col("need_grp"))).drop("need_grp")
 
@@ -324,8 +324,8 @@ def _count_inside(keys: DataFrame, prefixes: Mapping[object, str], digits: Colum
     if len(prefixes) <= MAX_CASE_GROUPS:
         inside = F.startswith(F.col("key"), _by_group(prefixes))
         return keys.groupBy("grp", F.when(inside, digits).alias("prefix")).agg(F.count("*").alias("n"))
-    table = keys.sparkSession.createDataFrame(
-        list(prefixes.items()), f"m_grp {keys.schema['grp'].dataType.simpleString()}, m_prefix string"
+    table = local_frame(
+        keys.sparkSession, list(prefixes.items()), f"m_grp {keys.schema['grp'].dataType.simpleString()}, m_prefix string"
     )
     # one row per group, at most the caller's max_groups
     joined = keys.join(F.broadcast(table), F.col("grp").eqNullSafe(F.col("m_grp")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import bin_index, clip, safe_ratio
+from riskframe.session import local_frame
 
 # --- fixed values ----------------------------------------------------------------------
 LOG_LOSS_EPSILON = 2.220446049250313e-16
@@ -227,7 +228,8 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: Sequenc
         for c in labels
     ]
     counted = pairs.groupBy("actual").agg(*cells)
-    frame = df.sparkSession.createDataFrame([(c,) for c in labels], ["label"])
+    kind = pairs.schema["actual"].dataType.simpleString()
+    frame = local_frame(df.sparkSession, [(c,) for c in labels], f"label {kind}")
     names = [f"predicted_{c}" for c in labels]
     return frame.join(counted, F.col("label") == F.col("actual"), "left").select(
         F.concat(F.lit("actual_"), F.col("label").cast("string")).alias("actual"),

@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.session import active_session
+from riskframe.session import active_session, local_frame
 from riskframe.sources.metadata import read_metadata, write_metadata
 
 SUPPORTED_TASK_TYPES = ("binary_classification", "multiclass_classification")
@@ -148,7 +148,7 @@ class ClassifierModel:
             values = model.featureImportances.toArray()
         names = self.feature_names or [f"f{i}" for i in range(len(values))]
         rows = sorted(((n, float(v)) for n, v in zip(names, values)), key=lambda r: (-r[1], r[0]))
-        return active_session(spark).createDataFrame(rows, "feature string, importance double")
+        return local_frame(active_session(spark), rows, "feature string, importance double")
 
     def save(self, path: str, spark: SparkSession | None = None) -> None:
         self._check_fitted().write().overwrite().save(f"{path}/classifier")

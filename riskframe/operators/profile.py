@@ -13,6 +13,7 @@ from riskframe.functions.columns import flag, to_number
 from riskframe.functions.ranking import exact_quantiles, sum_or_zero
 from riskframe.operators.cleaning import numeric_columns
 from riskframe.operators.duplicates import duplicate_row_count
+from riskframe.session import local_frame
 
 
 def missing_predicate(df: DataFrame, name: str) -> Column:
@@ -53,7 +54,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         "p25 double, p50 double, p75 double, max double"
     )
     if not names:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     numbers = df.select(*[to_number(F.col(f"`{c}`")).alias(c) for c in names])
     moments: list[Column] = []
     for i, name in enumerate(names):
@@ -74,7 +75,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         rows.append(
             (name, counts[name], row[f"mean{i}"], row[f"std{i}"], row[f"min{i}"], p25, p50, p75, row[f"max{i}"])
         )
-    return spark.createDataFrame(rows, schema)
+    return local_frame(spark, rows, schema)
 
 
 @dataclass(frozen=True)

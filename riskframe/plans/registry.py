@@ -8,7 +8,7 @@ from typing import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.session import shared_dir
+from riskframe.session import local_frame, shared_dir
 from riskframe.sources.tables import append_history, read_history
 
 VERSION_SCHEMA = "model string, version long, path string, registered_at timestamp"
@@ -38,7 +38,7 @@ class ModelRegistry:
     def _read(self, path: str, schema: str) -> DataFrame:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         exists = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-        return read_history(self.spark, path) if exists else self.spark.createDataFrame([], schema)
+        return read_history(self.spark, path) if exists else local_frame(self.spark, [], schema)
 
     def versions(self) -> DataFrame:
         return self._read(self._versions, VERSION_SCHEMA)
@@ -52,7 +52,7 @@ class ModelRegistry:
 
     def register(self, model: str, version: int, path: str) -> None:
         row = [(model, version, path, datetime.now(timezone.utc))]
-        append_history(self.spark.createDataFrame(row, VERSION_SCHEMA).coalesce(1), self._versions)
+        append_history(local_frame(self.spark, row, VERSION_SCHEMA).coalesce(1), self._versions)
 
     def set_alias(self, model: str, version: int, alias: str, gates: Mapping[str, object] | None = None) -> None:
         """Point an alias to a version (promotion and rollback)."""
@@ -60,7 +60,7 @@ class ModelRegistry:
         if not found:
             raise ValueError(f"model '{model}' has no version {version}")
         row = [(model, alias, int(version), found[0].path, datetime.now(timezone.utc), str(dict(gates or {})))]
-        append_history(self.spark.createDataFrame(row, PROMOTION_SCHEMA).coalesce(1), self._promotions)
+        append_history(local_frame(self.spark, row, PROMOTION_SCHEMA).coalesce(1), self._promotions)
 
     def current(self) -> DataFrame:
         return current_promotions(self.promotions())

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -66,3 +70,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
+
+
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small driver-side result as a table, handed over as Arrow.
+
+    The JVM keeps it as a local relation: no Python workers to read it, and its true size is
+    known to the optimizer.
+    """
+    struct = T.StructType.fromDDL(schema)
+    fields = to_arrow_schema(struct)
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(values), type=field.type) for values, field in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), struct)

@@ -7,9 +7,11 @@ from typing import Any, Mapping
 
 from pyspark.sql import SparkSession
 
+from riskframe.session import local_frame
+
 
 def write_metadata(spark: SparkSession, path: str, document: Mapping[str, Any]) -> None:
-    spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    local_frame(spark, [(json.dumps(document),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_metadata(spark: SparkSession, path: str) -> dict[str, Any]:

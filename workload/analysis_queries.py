@@ -22,7 +22,7 @@ from riskframe.operators.split import (
     split_counts,
     temporal_flag,
 )
-from riskframe.session import scratch_path
+from riskframe.session import local_frame, scratch_path
 from riskframe.sources import read_table, write_table
 from workload.catalog import comparable, r, register
 from workload.fixtures import SCORE_SQL, patients, scored, table, with_patients
@@ -78,7 +78,7 @@ def a1(spark, sf_dir):
 )
 def a2(spark, sf_dir):
     count = duplicate_row_count(table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity"))
-    return spark.createDataFrame([(count,)], "duplicate_rows long")
+    return local_frame(spark, [(count,)], "duplicate_rows long")
 
 
 @register(
@@ -136,7 +136,7 @@ def _statistic(strategy: str, sql: str) -> None:
     )
     def query(spark, sf_dir):
         values = numeric_fill_values(patients(spark, sf_dir), NUMERIC, strategy)
-        return comparable(spark.createDataFrame(list(values.items()), "feature string, value double"))
+        return comparable(local_frame(spark, list(values.items()), "feature string, value double"))
 
 
 _statistic("median", "quantile_cont(CAST({c} AS DOUBLE), 0.5)")
@@ -655,7 +655,7 @@ def d2(spark, sf_dir):
     columns = ["bmi", "age", "family_history_diabetes"]
     edges = quantile_edges(patients(spark, sf_dir), columns, 10)
     rows = [(c, float(e)) for c in columns for e in edges[c]]
-    return comparable(spark.createDataFrame(rows, "feature string, edge double"))
+    return comparable(local_frame(spark, rows, "feature string, edge double"))
 
 
 @register(

@@ -11,7 +11,7 @@ from riskframe.operators.duplicates import drop_duplicate_rows, duplicate_id_cou
 from riskframe.operators.profile import missing_values
 from riskframe.operators.schema import range_checks
 from riskframe.plans.scoring import join_truth, select_scoring_columns
-from riskframe.session import scratch_path
+from riskframe.session import local_frame, scratch_path
 from riskframe.sources import (
     append_history,
     load_dataset,
@@ -301,7 +301,7 @@ def v3(spark, sf_dir):
 )
 def v7(spark, sf_dir):
     count = duplicate_row_count(patients(spark, sf_dir).select("age", "gender", "bmi"))
-    return spark.createDataFrame([(count,)], "duplicate_rows long")
+    return local_frame(spark, [(count,)], "duplicate_rows long")
 
 
 @register(
@@ -336,7 +336,7 @@ def v9(spark, sf_dir):
 )
 def v10(spark, sf_dir):
     found = duplicate_id_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey"])
-    return spark.createDataFrame(list(found.items()), "column_name string, duplicate_ids long")
+    return local_frame(spark, list(found.items()), "column_name string, duplicate_ids long")
 
 
 def _check(name: str, column: str, value: str, limit: str, passed: str) -> str:
