@@ -304,3 +304,21 @@ def test_streaming_features_equal_batch(spark, sf_dir, tmp_path):
     written = spark.read.parquet(out)
     expected = stream_features(batch, id_columns=["patient_id"])
     assert written.exceptAll(expected.select(written.columns)).count() == 0 and written.count() == 1500
+
+
+def test_early_stopping_uses_the_validation_rows(spark, people, tmp_path):
+    registry = ModelRegistry(spark, str(tmp_path / "models"))
+    result = rf.train_model(
+        people, registry=registry, target_column="y", id_columns=["patient_id"], model_type="gradient_boosting",
+        model_params={"n_estimators": 6, "max_depth": 2, "learning_rate": 0.9}, early_stopping=True,
+    )
+    model = rf.ScoringModel.load(registry.resolve(result.model_uri), spark)
+    assert 1 <= len(model.classifier.model.treeWeights) <= 6
+
+
+def test_entry_and_registration(spark):
+    import __spark_entry__ as entry_module
+
+    frame = entry_module.entry(spark)
+    assert frame.columns == ["bmi_category", "patients", "with_syndrome", "syndrome_rate"] and frame.count() > 0
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
