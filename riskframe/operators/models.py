@@ -25,6 +25,7 @@ from riskframe.sources.metadata import read_metadata, write_metadata
 SUPPORTED_TASK_TYPES = ("binary_classification", "multiclass_classification")
 CHECKPOINT_INTERVAL = 10
 LABEL_INDEX = "__label_index"
+MAX_CLASSES = 1_000  # a column with more values is not a class label
 
 
 class ClassifierModel:
@@ -71,7 +72,10 @@ class ClassifierModel:
     ) -> ClassifierModel:
         """Fit on ``train``; ``validation`` rows stop boosting early only when asked to."""
         self.feature_names = list(feature_names)
-        counted = train.groupBy(F.col(label_column).alias("label")).agg(F.count("*").alias("n")).collect()
+        labels = train.groupBy(F.col(label_column).alias("label")).agg(F.count("*").alias("n"))
+        counted = labels.limit(MAX_CLASSES + 1).collect()
+        if len(counted) > MAX_CLASSES:
+            raise ValueError(f"'{label_column}' has more than {MAX_CLASSES} values and is not a class label")
         self.classes = sorted(r.label for r in counted)
         columns = [F.col(self.features_column), self._label_index(label_column).alias(LABEL_INDEX)]
         data = train.select(*columns)

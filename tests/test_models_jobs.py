@@ -104,6 +104,16 @@ def test_multiclass_boosting_and_evaluation(people):
     assert report.predictions.columns == ["actual", "predicted", "probability_0", "probability_1", "probability_2"]
 
 
+def test_continuous_labels_are_rejected(people, monkeypatch):
+    data = vectors(people)[1]
+    monkeypatch.setattr("riskframe.operators.models.MAX_CLASSES", 5)
+    monkeypatch.setattr("riskframe.plans.evaluation.MAX_CLASSES", 5)
+    with pytest.raises(ValueError, match="not a class label"):
+        rf.ModelFactory.create("random_forest", TREES).fit(data, "age")
+    with pytest.raises(ValueError, match="not a class label"):
+        rf.ModelEvaluator(rf.ModelFactory.create("random_forest")).evaluate(data, "age")
+
+
 def test_factory_rejections():
     with pytest.raises(ValueError, match="unknown model_type"):
         rf.ModelFactory.create("prophet")
