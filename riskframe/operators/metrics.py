@@ -194,10 +194,14 @@ def binary_metrics(
 
 def split_metrics(df: DataFrame, label: str, score: str, *, split: str = "split", threshold: float = 0.5) -> DataFrame:
     """``(metric, value)`` named ``<split>_<metric>`` and rounded to six digits, all splits in one job."""
-    long = binary_metrics(df, label, score, by=[split], threshold=threshold)
-    return long.filter(F.col("metric") != "log_loss").select(
-        F.concat_ws("_", F.col(split), F.col("metric")).alias("metric"), F.round("value", 6).alias("value")
-    )
+    rows = binary_metrics_wide(df, label, score, by=[split], threshold=threshold).collect()
+    # rounded like the metric dictionaries, by the binary value; one row per split and metric
+    rounded = [
+        (f"{row[split]}_{name}", None if row[name] is None else round(float(row[name]), 6))
+        for row in rows
+        for name in HOLDOUT_METRICS
+    ]
+    return local_frame(df.sparkSession, rounded, "metric string, value double")
 
 
 def tracked_metrics(metrics: DataFrame) -> DataFrame:
