@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
+from . import licences
 from .catalog import register
 from .common import table
 from .mixing import mix_sources
 
 
+@register("op8_license_scan", licences.oracle())
+def op8_license_scan(spark, sf_dir):
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 @register("op9_mix_sources")
 def op9_mix_sources(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
