@@ -6,6 +6,7 @@ from . import licences
 from .catalog import register
 from .common import table
 from .mixing import mix_sources
+from .urls import filter_urls
 
 
 @register("op8_license_scan", licences.oracle())
@@ -16,3 +17,8 @@ def op8_license_scan(spark, sf_dir):
 @register("op9_mix_sources")
 def op9_mix_sources(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@register("op10_url_filter")
+def op10_url_filter(spark, sf_dir):
+    return filter_urls(table(spark, sf_dir, "pages"))
