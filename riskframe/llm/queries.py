@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import licences
 from .catalog import register
 from .common import table
+from .language import identify_languages, learning_sample
 from .mixing import mix_sources
 from .urls import filter_urls
 
 
+def fold(modulus: int):
+    """crc32 of the document's id as text, modulo ``modulus``: the folds of the learned operators."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@register("op3_language_id")
+def op3_language_id(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = fold(4) == 2
+    samples = learning_sample(documents.where(~held_out).select("lang", "text"))
+    return identify_languages(documents, samples).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @register("op8_license_scan", licences.oracle())
 def op8_license_scan(spark, sf_dir):
     return licences.scan_licences(table(spark, sf_dir, "documents"))
