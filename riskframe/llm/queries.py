@@ -9,6 +9,7 @@ from .catalog import register
 from .common import table
 from .language import identify_languages, learning_sample
 from .mixing import mix_sources
+from .quality import fit_quality, score_quality
 from .urls import filter_urls
 
 
@@ -25,6 +26,15 @@ def op3_language_id(spark, sf_dir):
     return identify_languages(documents, samples).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@register("op4_quality_classifier")
+def op4_quality_classifier(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = fold(5) == 0
+    learned = documents.where(~held_out).select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+    scored = score_quality(documents, fit_quality(learned.select("text", "quality")))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @register("op8_license_scan", licences.oracle())
 def op8_license_scan(spark, sf_dir):
     return licences.scan_licences(table(spark, sf_dir, "documents"))
