@@ -9,6 +9,7 @@ from .catalog import register
 from .common import table
 from .language import identify_languages, learning_sample
 from .mixing import mix_sources
+from .pieces import decode_pieces, encode_pieces
 from .quality import fit_quality, score_quality
 from .urls import filter_urls
 
@@ -35,6 +36,14 @@ def op4_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@register("op7_sentencepiece")
+def op7_sentencepiece(spark, sf_dir):
+    encoded = encode_pieces(table(spark, sf_dir, "documents"))
+    return decode_pieces(encoded).select(
+        "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 @register("op8_license_scan", licences.oracle())
 def op8_license_scan(spark, sf_dir):
     return licences.scan_licences(table(spark, sf_dir, "documents"))
