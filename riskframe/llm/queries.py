@@ -9,6 +9,8 @@ from .catalog import register
 from .common import table
 from .language import identify_languages, learning_sample
 from .mixing import mix_sources
+from .near_vectors import near_vectors
+from .neighbours import nearest_neighbours
 from .pieces import decode_pieces, encode_pieces
 from .quality import fit_quality, score_quality
 from .urls import filter_urls
@@ -19,6 +21,13 @@ def fold(modulus: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+@register("op2_nearest_neighbours")
+def op2_nearest_neighbours(spark, sf_dir):
+    embeddings = table(spark, sf_dir, "embeddings")
+    found = nearest_neighbours(embeddings, embeddings.where("vec_id % 100 = 0"))
+    return found.select("query_id", "rank", F.col("neighbour").alias("vec_id"), "score")
+
+
 @register("op3_language_id")
 def op3_language_id(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -36,6 +45,11 @@ def op4_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@register("op5_near_vectors")
+def op5_near_vectors(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @register("op7_sentencepiece")
 def op7_sentencepiece(spark, sf_dir):
     encoded = encode_pieces(table(spark, sf_dir, "documents"))
