@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import licences
 from .catalog import register
 from .common import table
+from .jaccard import jaccard_components
 from .language import identify_languages, learning_sample
 from .mixing import mix_sources
 from .near_vectors import near_vectors
@@ -50,6 +51,11 @@ def op5_near_vectors(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@register("op6_jaccard_join")
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 @register("op7_sentencepiece")
 def op7_sentencepiece(spark, sf_dir):
     encoded = encode_pieces(table(spark, sf_dir, "documents"))
