@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, written
 
 #: The learning sample: per class at most ``SAMPLE_TEXTS`` distinct texts, ``SAMPLE_CHARS`` characters of each; every
 #: fourth of them calibrates, the others fill the dictionaries.
@@ -96,22 +96,30 @@ def _isotonic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[tuple[float,
     return tuple(p[2] / p[0] for p in pools), tuple(p[1] / p[0] for p in pools)
 
 
-def fit_quality(labelled: DataFrame) -> QualityModel:
-    """Fit on ``labelled(text, quality)``; rows with null text or label do not count.
+def fit_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
+    """Fit on the texts of ``documents`` that ``labels(id, quality)`` marks 0 or 1.
 
-    Without rows of both classes every score is the share of good rows (0.5 if there are none).
+    The labelled ids are thinned first, to one per class and hash bucket; only their texts are looked up, so no
+    text is shuffled. Null texts and other labels do not count, equal texts of a class count once. Without texts
+    of both classes every score is the share of good labels (0.5 if there are none).
     """
-    hashed = F.xxhash64("text")
-    known = labelled.where(F.col("text").isNotNull() & F.col("quality").isin(0, 1))
-    rows = (
-        known.groupBy("quality", F.pmod(hashed, F.lit(SAMPLE_TEXTS)).alias("bucket"))
-        .agg(F.min(F.struct(hashed.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))).alias("x"),
-             F.count("*").alias("n"))
-        .select("quality", "bucket", "x.text", "n").collect()
+    hashed = F.xxhash64("id")
+    marked = labels.select(F.col(f"`{id_col}`").alias("id"), "quality").where(F.col("quality").isin(0, 1) & F.col("id").isNotNull())
+    chosen = (
+        marked.groupBy("quality", F.pmod(hashed, F.lit(SAMPLE_TEXTS)).alias("bucket"))
+        .agg(F.min(F.struct(hashed.alias("h"), "id")).alias("x"), F.count("*").alias("n"))
+        .select("quality", "bucket", F.col("x.id").alias("id"), "n")
     )
-    total = {q: sum(r["n"] for r in rows if r["quality"] == q) for q in (0, 1)}
-    share = total[1] / (total[0] + total[1]) if rows else 0.5
-    by_class = {q: [r["text"] for r in sorted(rows, key=lambda r: r["bucket"]) if r["quality"] == q] for q in (0, 1)}
+    chosen = written(chosen, "labelled")
+    texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.substring(F.col(f"`{text_col}`"), 1, SAMPLE_CHARS).alias("text"))
+    # at most two rows per bucket: the bound that makes the broadcast safe
+    found = texts.where(F.col("text").isNotNull()).join(F.broadcast(chosen.select("id", "quality", "bucket")), "id")
+    found = found.groupBy("quality", "bucket").agg(F.min("text").alias("text")).collect()
+    rows = [{"quality": q, "text": t, "bucket": b} for q, t, b in sorted({(r["quality"], r["text"], r["bucket"]) for r in found})]
+    counts = chosen.select("quality", "n").collect()
+    total = {q: sum(r["n"] for r in counts if r["quality"] == q) for q in (0, 1)}
+    share = total[1] / (total[0] + total[1]) if counts else 0.5
+    by_class = {q: list(dict.fromkeys(r["text"] for r in sorted(rows, key=lambda r: r["bucket"]) if r["quality"] == q)) for q in (0, 1)}
     if min(len(v) for v in by_class.values()) < 2:
         return QualityModel(b"", b"", (0.0,), (share,))
     train = {q: [t for k, t in enumerate(v) if k % 4] for q, v in by_class.items()}

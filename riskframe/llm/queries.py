@@ -41,8 +41,7 @@ def op3_language_id(spark, sf_dir):
 def op4_quality_classifier(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     held_out = fold(5) == 0
-    learned = documents.where(~held_out).select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
-    scored = score_quality(documents, fit_quality(learned.select("text", "quality")))
+    scored = score_quality(documents, fit_quality(documents, table(spark, sf_dir, "labels").where(~held_out)))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
