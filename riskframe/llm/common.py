@@ -13,6 +13,7 @@ from ..session import scratch_path
 
 #: Words of every operator: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -24,11 +25,17 @@ def ascii_lower(column):
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage, survives lost executors.
 
-    Reading it back gives the planner the true size, so it broadcasts only what is small.
+    Reading it back gives the planner the true size, so it broadcasts only what is small. The shuffle files of
+    the write are removed with its end, not when the driver happens to collect garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,6 +14,7 @@ from .near_vectors import near_vectors
 from .neighbours import nearest_neighbours
 from .pieces import decode_pieces, encode_pieces
 from .quality import fit_quality, score_quality
+from .repeats import remove_repeats
 from .urls import filter_urls
 
 
@@ -22,6 +23,12 @@ def fold(modulus: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+@register("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark, sf_dir):
+    done = remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op2_nearest_neighbours")
 def op2_nearest_neighbours(spark, sf_dir):
     embeddings = table(spark, sf_dir, "embeddings")

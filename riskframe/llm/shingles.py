@@ -19,7 +19,7 @@ def mixed(x: np.ndarray, key: int = 0) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
     inverse = pow(_BASE, -1, 2**64)
     out = []
@@ -55,7 +55,7 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     if not len(starts):
         return [np.empty(0, np.uint64) for _ in texts]
     size = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = powers(size)
     sums = np.cumsum(values[data] * up[:len(data)], dtype=np.uint64)
     before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
     words = mixed((sums[stops - 1] - before) * down[starts] + (stops - starts).astype(np.uint64))
