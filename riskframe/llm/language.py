@@ -145,18 +145,22 @@ def learning_sample(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
     return tuple((lang, "\n".join(texts).encode()) for lang, texts in sorted(by_language.items()))
 
 
-def identify_languages(df: DataFrame, samples: tuple[tuple[str, bytes], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, lang_pred and score (0 to 1: by how much the runner-up needs more phrases).
+def with_language(df: DataFrame, samples: tuple[tuple[str, bytes], ...], text_col: str = "text") -> DataFrame:
+    """``df`` with lang_pred and score (0 to 1: by how much the runner-up needs more phrases).
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything when there is no sample.
-    Ties go to the smaller language name; with a single language the score is 1. Whole texts are parsed.
+    Ties go to the smaller language name; with a single language the score is 1. Whole texts are parsed. Columns
+    of these names that ``df`` has already are replaced.
     """
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    lettered = F.coalesce(F.rlike("text", F.lit(r"\p{L}")), F.lit(False))
+    df = df.drop("lang_pred", "score")
     if not samples:
-        return rows.select(F.col("id").alias(id_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    kind = rows.schema["id"].dataType.simpleString()
+        return df.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+    text = F.col(f"`{text_col}`")
+    lettered = F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
+    # positions instead of names: whatever the columns are called
+    inner = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)], text.alias("text"), lettered.alias("lettered"))
     shared = df.sparkSession.sparkContext.broadcast(samples)
+    width = len(df.columns)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Automata.of(shared.value)
@@ -172,8 +176,15 @@ def identify_languages(df: DataFrame, samples: tuple[tuple[str, bytes], ...], id
             names = pa.array(model.languages).take(pa.array(best))
             known = part.column("lettered")
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.compute.if_else(known, names, UNKNOWN), pa.compute.if_else(known, pa.array(score), 0.0)],
-                ["id", "lang_pred", "score"])
+                [*part.columns[:width], pa.compute.if_else(known, names, UNKNOWN), pa.compute.if_else(known, pa.array(score), 0.0)],
+                [*part.schema.names[:width], "lang_pred", "score"])
+
+    kinds = ", ".join(f"c{k} {kind}" for k, (_, kind) in enumerate(df.dtypes))
+    out = inner.mapInArrow(predict, f"{kinds}, lang_pred string, score double")
+    return out.toDF(*df.columns, "lang_pred", "score")
 
-    out = rows.withColumn("lettered", lettered).mapInArrow(predict, f"id {kind}, lang_pred string, score double")
-    return out.withColumnRenamed("id", id_col)
+
+def identify_languages(df: DataFrame, samples: tuple[tuple[str, bytes], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, lang_pred and score, as :func:`with_language` gives them."""
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return with_language(rows, samples).select(F.col("id").alias(id_col), "lang_pred", "score")

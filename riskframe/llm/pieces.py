@@ -150,13 +150,17 @@ def read_model(path: str = MODEL) -> bytes:
 
 def encode_pieces(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row: id, the text, pieces (array<int>). Null text has null pieces, empty text none; equal rows agree.
+    """Per row: id, the text, the columns ``keep``, pieces (array<int>). Null text has null pieces, empty text none;
+    equal rows agree.
 
     ``model`` is a path on the driver; the vocabulary (half a megabyte) is broadcast. ``dropout`` 0 is plain BPE.
     """
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+    names = [f"k{n}" for n in range(len(keep))]
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+                     *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)])
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
     shared = df.sparkSession.sparkContext.broadcast(read_model(model))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,10 +172,9 @@ def encode_pieces(
             ends = np.cumsum([len(x or b"") // 4 for x in packed])
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in packed]))
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), lists], ["id", "text", "pieces"])
+            yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "pieces"])
 
-    out = rows.mapInArrow(encode, f"id {kind}, text string, pieces array<int>")
-    return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "pieces")
+    return rows.mapInArrow(encode, f"{kinds}, pieces array<int>").toDF(id_col, text_col, *keep, "pieces")
 
 
 def decode_pieces(df: DataFrame, pieces_col: str = "pieces", model: str = MODEL) -> DataFrame:

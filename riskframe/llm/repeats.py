@@ -22,7 +22,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import shuffle_parts, slices, written
@@ -340,8 +340,9 @@ class _ByText:
         return self.records[a:b]
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, spans array<struct<start, stop>>, kept (binary: what is left).
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: id, n_bytes, n_removed, n_spans, spans array<struct<start, stop>>, kept (binary: what is left), and
+    the columns ``keep`` as they are.
 
     Removed is every byte of a 50-byte string that also starts in a row with a smaller id; strings lie within one
     text and are judged on the input. Ids are integers. Null texts are empty; rows with equal ids, equal rows
@@ -353,7 +354,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     home = F.pmod(F.coalesce(F.col("id").cast("long"), F.lit(_LAST)), F.lit(homes)).cast("int")
-    texts = docs.withColumn("home", home)
+    extra = [f"k{n}" for n in range(len(keep))]
+    texts = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
+                      *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, extra)]).withColumn("home", home)
     met = written(_meetings(docs, buckets, homes), "met")
 
     def read(key, texts: pa.Table, blocks: pa.Table) -> pa.Table:
@@ -390,12 +393,23 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "n_removed": pa.array([sum(b - a for a, b in runs) for runs, _ in done], pa.int64()),
             "n_spans": pa.array([len(runs) for runs, _ in done], pa.int64()),
             "spans": pa.array([[{"start": a, "stop": b} for a, b in runs] for runs, _ in done], edges),
-            "kept": pa.array([kept for _, kept in done], pa.binary())})
+            "kept": pa.array([kept for _, kept in done], pa.binary()), **{k: texts.column(k) for k in extra}})
 
     spans = met.where(F.col("kind") == _SPANS).unionByName(compared).withColumnRenamed("bucket", "home")
+    kinds = "".join(f", {k} {texts.schema[k].dataType.simpleString()}" for k in extra)
     out = by_home.cogroup(spans.groupBy("home")).applyInArrow(
-        cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,stop:int>>, kept binary")
-    return out.withColumnRenamed("id", id_col)
+        cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,stop:int>>, kept binary{kinds}")
+    return out.toDF(id_col, *out.columns[1:6], *keep)
+
+
+def decoded(kept: Column) -> Column:
+    """What is left as text; characters of which only some bytes are left go, too."""
+
+    @F.arrow_udf("string")
+    def decode(column: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else b.decode("utf-8", "ignore") for b in column.to_pylist()], pa.string())
+
+    return decode(kept)
 
 
 def _dealt_parts(parts: np.ndarray, strings: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
