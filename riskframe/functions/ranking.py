@@ -232,6 +232,25 @@ class HashCut:
     ties: int
 
 
+def long_order_statistic(df: DataFrame, column: str, rank: int) -> int:
+    """Exact k-th smallest value (zero-based rank) of a whole-number column without missing values.
+
+    Fixes twelve bits at a time, the high ones first: each round counts the rows per prefix among those that
+    share the prefix found so far, at most 4,096 counts that are combined before the shuffle.
+    """
+    value, scope, shift = F.col(column), df, 52
+    while True:
+        counts = scope.groupBy(F.shiftright(value, shift).alias("prefix")).count().collect()
+        for prefix, rows in sorted((r["prefix"], r["count"]) for r in counts):
+            if rank < rows:
+                break
+            rank -= rows
+        if shift == 0:
+            return prefix
+        scope = df.where(F.shiftright(value, shift) == F.lit(prefix))
+        shift = max(0, shift - 12)
+
+
 def hash_cuts(keys: DataFrame, quota: Column, *, max_groups: int) -> list[HashCut] | None:
     """Per group of ``(grp, key)``, the hexadecimal key that separates the ``quota`` smallest.
 

@@ -45,11 +45,12 @@ def infinities_to_missing(df: DataFrame) -> DataFrame:
 
 
 def clean_categorical_variables(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
-    """Recode the known category spellings of the columns that exist."""
+    """Recode the known category spellings of the text columns that exist; coded columns stay as they are."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     present = {
         name: recode(F.col(name), mapping)
         for name, mapping in CATEGORY_RECODES.items()
-        if name in df.columns and name not in skip
+        if name in text and name not in skip
     }
     return df.withColumns(present) if present else df
 

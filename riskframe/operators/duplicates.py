@@ -5,15 +5,22 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.ranking import sum_or_zero
+from riskframe.session import scratch_path
 
 MAX_BROADCAST_HASHES = 1_000_000  # 8 bytes each
 NARROW_COLUMNS = 4  # rows of so few columns are not worth hashing
 
 
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row that knows which of its values are missing (the built-in skips NULL)."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
 def _beyond_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     grouped = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count("*").alias("__n"))
     return grouped.agg(sum_or_zero(F.col("__n") - 1).alias("duplicate_rows"))
@@ -27,7 +34,7 @@ def duplicate_row_count(df: DataFrame, *, direct: bool = False) -> int:
     hashes, use the full-row grouping, where equal rows are combined before the shuffle.
     """
     if not direct and len(df.columns) > NARROW_COLUMNS:
-        digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h")
+        digest = row_hash(df).alias("__h")
         hashes = df.select(digest).groupBy("__h").agg(F.count("*").alias("__n"))
         repeated = hashes.filter("__n > 1").select("__h").persist()
         try:
@@ -49,15 +56,16 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     they are; only the others are grouped. Falls back to the full-row grouping when very many
     hashes repeat. Unlike ``dropDuplicates`` this runs a job at once.
     """
-    digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h")
+    digest = row_hash(df).alias("__h")
     hashes = df.select(digest).groupBy("__h").agg(F.count("*").alias("__n"))
-    repeated = hashes.filter("__n > 1").select("__h").persist()
+    # a written table rather than a cache: nothing to release later, and the planner knows its size
+    path = scratch_path(df.sparkSession, "repeated-hashes")
+    hashes.filter("__n > 1").select("__h").write.parquet(path)
+    repeated = df.sparkSession.read.parquet(path)
     suspects = repeated.count()
     if suspects == 0:
-        repeated.unpersist()
         return df
     if suspects > MAX_BROADCAST_HASHES:
-        repeated.unpersist()
         return df.dropDuplicates()
     hashed = df.select("*", digest)
     unique = hashed.join(F.broadcast(repeated), "__h", "left_anti").drop("__h")

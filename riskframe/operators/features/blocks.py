@@ -80,7 +80,7 @@ def _lifestyle(diet: Column, activity: Column, sleep: Column, alcohol: Column, s
             activity >= T.ACTIVITY_TARGET_MINUTES,
             sleep.between(*T.LIFESTYLE_SLEEP_RANGE),
             alcohol <= T.LIFESTYLE_ALCOHOL_MAX,
-            smoking == T.NEVER_SMOKER,
+            smoking.cast("string") == T.NEVER_SMOKER,  # a coded column matches no label
         ],
         weight=T.LIFESTYLE_POINTS,
     )
@@ -101,7 +101,9 @@ def demographics_specs(columns: Sequence[str], age_group_strategy: str = "detail
         (
             "socioeconomic_vulnerability_flag",
             ("income_level", "education_level"),
-            lambda income, education: flag(income.isin(T.LOW_INCOME) & education.isin(T.LOW_EDUCATION)),
+            lambda income, education: flag(
+                income.cast("string").isin(T.LOW_INCOME) & education.cast("string").isin(T.LOW_EDUCATION)
+            ),
         ),
     ]
 

@@ -45,10 +45,13 @@ def score_counts(
 ) -> DataFrame:
     """``(by…, score, pos, neg)``: the only step that reads every row.
 
-    Partial aggregation combines equal scores before the shuffle. With ``decimals`` the number of
+    Partial aggregation combines equal scores before the shuffle. A missing label or score, or a NaN
+    score, fails the query. With ``decimals`` the number of
     distinct scores is bounded, 1,000,001 per subgroup for six.
     """
-    value = F.col(score) if decimals is None else F.bround(F.col(score), decimals)
+    known = F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    given = F.when(known, F.col(score)).otherwise(F.raise_error(F.lit("labels and scores must not be missing")).cast("double"))
+    value = given if decimals is None else F.bround(given, decimals)
     is_positive = (F.col(label) == F.lit(positive)).cast("long")
     return df.groupBy(*by, value.alias("score")).agg(
         F.sum(is_positive).alias("pos"), F.sum(F.lit(1) - is_positive).alias("neg")
@@ -357,10 +360,13 @@ def apply_gates(metrics: DataFrame, gates: Mapping[str, float]) -> DataFrame:
 
 
 def compute_binary_holdout_metrics(
-    df: DataFrame, label: str, score: str, threshold: float = 0.5, prefix: str = "holdout", decimals: int | None = None
+    df: DataFrame, label: str, score: str, threshold: float = 0.5, prefix: str = "holdout", decimals: int | None = None,
+    positive: object = 1,
 ) -> dict[str, float]:
-    """Prefixed, six-digit metrics of one scored table as a small dictionary."""
-    row = binary_metrics_wide(df, label, score, threshold=threshold, decimals=decimals).first()
+    """Prefixed, six-digit metrics of one scored table as a small dictionary; both classes must occur."""
+    row = binary_metrics_wide(df, label, score, threshold=threshold, decimals=decimals, positive=positive).first()
+    if row is None or not (row["tp"] or row["fn"]) or not (row["tn"] or row["fp"]):
+        raise ValueError(f"metrics need rows with and without the label {positive!r}")
     counts = {"tn", "fp", "fn", "tp"}
     return {
         f"{prefix}_{name}": int(row[name]) if name in counts else (None if row[name] is None else round(row[name], 6))

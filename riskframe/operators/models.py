@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.session import active_session, local_frame
+from riskframe.session import active_session, ensure_checkpoint_dir, local_frame
 from riskframe.sources.metadata import read_metadata, write_metadata
 
 SUPPORTED_TASK_TYPES = ("binary_classification", "multiclass_classification")
@@ -85,18 +85,12 @@ class ClassifierModel:
                 validation.select(*columns).withColumn("__valid", F.lit(True))
             )
             estimator = estimator.setValidationIndicatorCol("__valid")
+        ensure_checkpoint_dir(train.sparkSession)  # long boosting runs cut their lineage there
         cached = data.persist()
-        spread = None
         try:
-            parallelism = train.sparkSession.sparkContext.defaultParallelism
-            if cached.rdd.getNumPartitions() < parallelism:
-                # a table of few files would leave executors idle in every iteration
-                spread = cached.repartition(parallelism).persist()
-            self.model = estimator.fit(cached if spread is None else spread)
+            self.model = estimator.fit(cached)
         finally:
             cached.unpersist()
-            if spread is not None:
-                spread.unpersist()
         return self
 
     def _label_index(self, label_column: str) -> Column:

@@ -163,6 +163,8 @@ def predict_with_registered_model(
     """
     session = active_session(spark)
     model = load_model(model_uri, session, registry)
+    if mode == "merge" and not model.id_columns:
+        raise ValueError("mode 'merge' needs a model with identifier columns")
     scored = model.predict(_input(input_df, input_table, session))
     if output_table is None:
         return scored
@@ -204,12 +206,16 @@ def evaluate_registered_model_on_holdout(
     df = _input(input_df, input_table, session)
     if target_column not in df.columns:
         raise KeyError(f"target column '{target_column}' not found in holdout data")
-    predictions = load_model(model_uri, session, registry).predict(df, carry=[target_column])
+    model = load_model(model_uri, session, registry)
+    if len(model.classifier.classes) != 2:
+        raise ValueError("holdout metrics are defined for two classes; use ModelEvaluator for more")
+    predictions = model.predict(df, carry=[target_column])
     if output_table is not None:
         write_table(predictions, output_table, mode=mode)
         predictions = read_table(session, output_table)
     metrics = compute_binary_holdout_metrics(
-        predictions, target_column, "probability", threshold, "holdout", decimals=PROBABILITY_DECIMALS
+        predictions, target_column, "probability", threshold, "holdout", decimals=PROBABILITY_DECIMALS,
+        positive=model.classifier.classes[-1],
     )
     rows = sum(metrics[f"holdout_{n}"] for n in ("tn", "fp", "fn", "tp"))
     return HoldoutEvaluationResult(metrics, predictions, int(rows), target_column, model_uri, output_table)
