@@ -81,14 +81,16 @@ class Automata:
         width, tables, starts, at = len(used) + 1, [], [], 0
         for one in raw:
             moves = suffix_automaton(self.code[one].tolist())
-            table = np.full((len(moves), width), at | _NEW, np.int32)
+            # one more state: after a symbol that the sample lacks, and at the start, any symbol begins a phrase
+            begin = at + len(moves) * width
+            table = np.full((len(moves) + 1, width), begin | _NEW, np.int32)
             for symbol, state in moves[0].items():
                 table[:, symbol] = (at + state * width) | _NEW
             rows = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
             columns = np.fromiter((s for m in moves for s in m), np.int64, len(rows))
             table[rows, columns] = at + width * np.fromiter((t for m in moves for t in m.values()), np.int32, len(rows))
             tables.append(table.ravel())
-            starts.append(at)
+            starts.append(begin)
             at += table.size
         self.table = np.concatenate(tables)
         self.starts = np.array(starts, np.int32)
@@ -120,7 +122,7 @@ class Automata:
         going = np.searchsorted(-length, -np.arange(1, BLOCK + 1), side="right")
         k, lanes = len(self.starts), len(begin)
         state = np.repeat(self.starts[:, None], lanes, axis=1)
-        phrases = np.ones((k, lanes), np.int32)
+        phrases = np.zeros((k, lanes), np.int32)
         for step in range(int(length[0]) if lanes else 0):
             n = going[step]
             after = self.table[state[:, :n] + codes[begin[:n] + step]]

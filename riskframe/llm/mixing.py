@@ -187,11 +187,13 @@ def _reduce(leaves: DataFrame, sources: DataFrame, seed: int, fanout: int) -> Da
 
 def take(df: DataFrame, mix: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` as often as ``mix`` (from :func:`mix_sources` on ``df``) takes them."""
-    size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long")
-    left = df.withColumn("__size", size)
-    left = left.withColumn("__nth", F.row_number().over(Window.partitionBy(id_col).orderBy(source_col, "__size")))
-    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(source_col, "size"))
-    right = mix.select(F.col(id_col).alias("__id"), nth.alias("__n"), "copies").where("copies > 0")
-    joined = left.join(right, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__nth") == F.col("__n")))
-    repeated = joined.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in df.columns])
+    # positions instead of names: whatever the columns are called
+    names = [f"c{k}" for k in range(len(df.columns))]
+    key, of = (F.col(names[df.columns.index(c)]) for c in (id_col, source_col))
+    left = df.toDF(*names).withColumn("size", F.coalesce(F.regexp_count(F.col(names[df.columns.index(text_col)]), F.lit(WORD)), F.lit(0)).cast("long"))
+    left = left.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(of, "size")))
+    nth = F.row_number().over(Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.col(f"`{source_col}`"), "size"))
+    right = mix.select(F.col(f"`{id_col}`").alias("of"), nth.alias("at"), "copies").where("copies > 0")
+    joined = left.join(right, key.eqNullSafe(F.col("of")) & (F.col("nth") == F.col("at")))
+    repeated = joined.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select(*names).toDF(*df.columns)
