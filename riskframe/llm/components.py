@@ -33,3 +33,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if state == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = state
+
+
+def merged_components(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) of ``known`` components after adding ``edges(a, b)``: only the edges between them are searched."""
+    for end in ("a", "b"):
+        of = known.select(F.col("node").alias(end), F.col("component").alias("now"))
+        edges = edges.join(of, end, "left").withColumn(end, F.coalesce("now", end)).drop("now")
+    moved = written(connected_components(edges), "moved").select(F.col("node").alias("component"), F.col("component").alias("to"))
+    kept = known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    # nodes that had no component: those that moved and are not in the table yet
+    new = moved.select(F.col("component").alias("node"), F.col("to").alias("component")).join(known.select("node"), "node", "left_anti")
+    return kept.unionByName(new)

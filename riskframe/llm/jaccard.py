@@ -5,14 +5,15 @@ A document's prefix, its rarest shingles, must meet that of every partner; docum
 The global order is cut into fragments: for the pairs that met, each fragment counts the overlap of its part of both
 sets on its own, and the partial counts are summed per pair and compared with the threshold.
 
-Documents with equal sets are one node, named by a 64-bit hash of the set. Pairs come in two rounds, so that a group
-of near copies never yields all its pairs. The first joins each prefix group along a chain; what it verifies gives
-components. The second takes exactly those pairs of a prefix group that lie in different components. Pairs inside a
-component cannot change it, so the components are those of all links.
+Documents with equal sets are one node, named by a 64-bit hash of the set. Pairs come in rounds, so that a group of
+near copies never yields all its pairs: a round takes only pairs that lie in different components of the links found
+before. The first rounds take near neighbours within the groups of a prefix shingle, ordered by size; the last takes
+all pairs that are left. Pairs inside a component cannot change it, so the components are those of all links.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -22,17 +23,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_parts, slices, written
-from .components import connected_components
+from .components import connected_components, merged_components
 from .shingles import mixed, shingle_sets
 
 SLICE_BYTES = 2 << 20
 #: Cells of the count table (4 bytes each) and the parts it is summed in.
-CELLS, PARTS = 1 << 20, 16
+CELLS, PARTS = 1 << 22, 16
 #: Fragments of the global order, prefix entries a task holds before it sends them, partners of a node in one group.
 FRAGMENTS, FLUSH, PARTNERS = 8, 1 << 20, 1024
 _ENTRY = np.dtype([("h", "<i8"), ("node", "<i8"), ("n", "<i4"), ("at", "<i4")])
-_ROWS = "kind int, x long, y long, p int, q int"
-_SHARED, _PAIR = 1, 2
+_ROWS = "h long, node long, n int, at int"
+#: Shared prefix shingles that two sets must have (as many as they need to share at all, if that is less).
+MEETINGS = 2
+#: Neighbours taken per entry and round; none: all.
+AHEAD = (4, 32, 256, None)
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -62,7 +66,8 @@ class GlobalOrder:
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    """So many of the rarest shingles that partners share ``MEETINGS`` of them."""
+    return min(n, n - -(-percent * n // 100) + MEETINGS)
 
 
 def needed(n, m, percent: int):
@@ -71,9 +76,9 @@ def needed(n, m, percent: int):
 
 
 def may_link(n_a, at_a, n_b, at_b, percent: int):
-    """Can sets with these sizes, that first meet at these places of their orders, still reach the threshold?"""
+    """Can sets with these sizes, that meet first or second at these places of their orders, still reach the threshold?"""
     low, high = np.minimum(n_a, n_b).astype(np.int64), np.maximum(n_a, n_b).astype(np.int64)
-    return (100 * low >= percent * high) & (1 + np.minimum(n_a - at_a, n_b - at_b) - 1 >= needed(low, high, percent))
+    return (100 * low >= percent * high) & (MEETINGS + np.minimum(n_a - at_a, n_b - at_b) - 1 >= needed(low, high, percent))
 
 
 def _in_groups(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,24 +92,8 @@ def _in_groups(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e, np.flatnonzero(first)
 
 
-def _chain(e: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs (a, b, n_a, n_b) of neighbours in the same group that may link."""
-    a, b = e[:-1], e[1:]
-    ok = (a["h"] == b["h"]) & may_link(a["n"], a["at"], b["n"], b["at"], percent)
-    return _pairs(a[ok], b[ok])
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    swap = a["node"] > b["node"]
-    x, y = np.where(swap, b["node"], a["node"]), np.where(swap, a["node"], b["node"])
-    p, q = np.where(swap, b["n"], a["n"]), np.where(swap, a["n"], b["n"])
-    return np.unique(np.rec.fromarrays([x, y, p, q], names="x,y,p,q")) if len(x) else np.rec.fromarrays([x, y, p, q], names="x,y,p,q")
-
-
-def _as_rows(shared: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
-    kind = np.repeat(np.array([_SHARED, _PAIR], np.int32), [len(shared), len(pairs)])
-    columns = [kind] + [np.concatenate([shared[s], pairs[t]]) for s, t in (("h", "x"), ("node", "y"), ("n", "p"), ("at", "q"))]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "x", "y", "p", "q"])
+def _batch_of(e: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(e[c])) for c in _ENTRY.names], list(_ENTRY.names))
 
 
 def shingled(df: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
@@ -125,7 +114,7 @@ def shingled(df: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), n, nodes, none.cast(pa.int32()), none.cast(pa.binary())], ["id", "n", "node", "part", "counts"])
         if counts.any():
-            blobs = [x.astype(np.int64).tobytes() for x in np.split(counts, PARTS)]
+            blobs = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, PARTS)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(PARTS, id_type), pa.nulls(PARTS, pa.int32()), pa.nulls(PARTS, pa.int64()), pa.array(range(PARTS), pa.int32()),
                  pa.array(blobs, pa.binary())], ["id", "n", "node", "part", "counts"])
@@ -135,7 +124,7 @@ def shingled(df: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
         for batch in tables:
             part = batch.column("part")[:1]
             for blob in batch.column("counts"):
-                total += np.frombuffer(blob.as_py(), np.int64)
+                total += np.frombuffer(zlib.decompress(blob.as_py()), np.int64)
         yield pa.RecordBatch.from_arrays([part, pa.array([total.tobytes()], pa.binary())], ["part", "counts"])
 
     out = written(df.mapInArrow(read, f"id {kind}, n int, node long, part int, counts binary"), "shingled")
@@ -147,33 +136,33 @@ def shingled(df: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def _meetings(df: DataFrame, order, words: int, percent: int) -> DataFrame:
-    """Shared prefix entries and first-round pairs as ``_ROWS``.
+    """Prefix entries of shingles that several nodes have.
 
-    Shingles that meet within a task are chained there and sent on by one entry only, so a shingle that many
-    documents share reaches its bucket once per task and flush.
+    Shingles that meet within a task are known to be shared; one of their entries still goes to the bucket of the
+    shingle, marked, so a shingle that many documents share reaches its bucket once per task and flush.
     """
     buckets = shuffle_parts(df.sparkSession)
 
     def sent(e: np.ndarray) -> Iterator[pa.RecordBatch]:
         e, starts = _in_groups(e)
         sizes = np.diff(np.append(starts, len(e)))
-        many = np.repeat(sizes > 1, sizes)
-        inner = _as_rows(e[many], _chain(e[many], percent))
-        heads = e[starts]
-        bucket = (mixed(heads["h"].view(np.uint64), 3) % np.uint64(buckets)).astype(np.int64)
+        inner = _batch_of(e[np.repeat(sizes > 1, sizes)])
+        heads, met = e[starts], sizes > 1
+        bucket = (mixed(heads["h"].view(np.uint64), 3) % np.uint64(buckets)).astype(np.int64) * 2 + met
         by = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        cuts = np.searchsorted(bucket[by], np.arange(2 * buckets + 1))
         heads = heads[by]
-        used = [k for k in range(buckets) if cuts[k] < cuts[k + 1]]
+        used = [k for k in range(2 * buckets) if cuts[k] < cuts[k + 1]]
         blobs = [heads[cuts[k]:cuts[k + 1]].tobytes() for k in used]
         none = pa.nulls(len(used))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array(blobs, pa.binary()), *[none.cast(t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())]],
-            ["bucket", "entries", "kind", "x", "y", "p", "q"])
+            [pa.array([k // 2 for k in used], pa.int32()), pa.array([bool(k % 2) for k in used]), pa.array(blobs, pa.binary()),
+             *[none.cast(t) for t in inner.schema.types]], ["bucket", "met", "entries", *inner.schema.names])
         if inner.num_rows:  # spread evenly: these are done
             spread = pa.array((np.arange(inner.num_rows) * buckets // inner.num_rows).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [spread, pa.nulls(inner.num_rows, pa.binary()), *inner.columns], ["bucket", "entries", *inner.schema.names])
+            none = pa.nulls(inner.num_rows)
+            yield pa.RecordBatch.from_arrays([spread, none.cast(pa.bool_()), none.cast(pa.binary()), *inner.columns],
+                                             ["bucket", "met", "entries", *inner.schema.names])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, held, n_held = order.value, [], 0
@@ -196,40 +185,42 @@ def _meetings(df: DataFrame, order, words: int, percent: int) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
         for batch in batches:
-            done = batch.filter(pa.compute.is_valid(batch.column("kind")))
+            done = batch.filter(pa.compute.is_null(batch.column("entries")))
             if done.num_rows:
-                yield done.select(["kind", "x", "y", "p", "q"])
+                yield done.select(list(_ENTRY.names))
             todo = batch.filter(pa.compute.is_valid(batch.column("entries")))
-            for bucket, blob in zip(todo.column("bucket").to_pylist(), todo.column("entries").to_pylist()):
-                parts.setdefault(bucket, []).append(np.frombuffer(blob, _ENTRY))
+            for bucket, met, blob in zip(*(todo.column(c).to_pylist() for c in ("bucket", "met", "entries"))):
+                parts.setdefault(bucket, []).append((np.frombuffer(blob, _ENTRY), met))
         for bucket in list(parts):
-            e, starts = _in_groups(np.concatenate(parts.pop(bucket)))
+            blocks = parts.pop(bucket)
+            known = np.concatenate([e["h"] for e, met in blocks if met] or [np.empty(0, np.int64)])
+            e, starts = _in_groups(np.concatenate([e for e, _ in blocks]))
             sizes = np.diff(np.append(starts, len(e)))
-            e = e[np.repeat(sizes > 1, sizes)]
+            shared = (sizes > 1) | np.isin(e["h"][starts], known)
+            e = e[np.repeat(shared, sizes)]
             if len(e):
-                yield _as_rows(e, _chain(e, percent))
+                yield _batch_of(e)
 
-    sent_rows = df.mapInArrow(send, f"bucket int, entries binary, {_ROWS}")
+    sent_rows = df.mapInArrow(send, f"bucket int, met boolean, entries binary, {_ROWS}")
     return written(sent_rows.repartition(buckets, "bucket").mapInArrow(meet, _ROWS), "meetings")
 
 
-def _crossing(shared: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one prefix group that may link and lie in different components: (x, y, p, q)."""
-    entries = shared.join(component.select(F.col("node").alias("y"), "component"), "y", "left").select(
-        F.col("x").alias("h"), F.col("y").alias("node"), F.col("p").alias("n"), F.col("q").alias("at"),
-        F.coalesce("component", "y").alias("component"))
-    entries = written(entries, "entries")
+def _candidates(entries: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Pairs (x, y, p, q) in different components that share enough prefix entries and may link.
+
+    ``entries`` has h, node, n, at, component; up to ``most`` entries ahead in a group's order by size are paired.
+    """
     open_groups = entries.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
 
-    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = pa.Table.from_batches(list(batches))
         h, node, n, at, component = (e.column(c).to_numpy() for c in ("h", "node", "n", "at", "component"))
         order = np.lexsort((node, n, h))
         h, node, n, at, component = (x[order] for x in (h, node, n, at, component))
         starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         end = np.repeat(np.append(starts[1:], len(h)), np.diff(np.append(starts, len(h))))
-        none, a, ahead = np.empty(0, _ENTRY), np.arange(len(h)), 1
-        while True:  # every entry with the one ``ahead`` places after it, for all groups at once
+        a, ahead = np.arange(len(h)), 1
+        while most is None or ahead <= most:  # every entry with the one ``ahead`` places after it, all groups at once
             a = a[a + ahead < end[a]]
             a = a[100 * n[a].astype(np.int64) >= percent * n[a + ahead].astype(np.int64)]  # later ones are larger still
             if not len(a):
@@ -237,28 +228,30 @@ def _crossing(shared: DataFrame, component: DataFrame, percent: int) -> DataFram
             b = a + ahead
             ok = (component[a] != component[b]) & may_link(n[a], at[a], n[b], at[b], percent)
             if ok.any():
-                x, y = (np.rec.fromarrays([node[k[ok]], n[k[ok]]], names="node,n") for k in (a, b))
-                yield _as_rows(none, _pairs(x, y))
+                i, j = a[ok], b[ok]
+                swap = node[i] > node[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[i], node[j], n[i], n[j])], ["x", "y", "p", "q"])
             ahead += 1
 
     rows = entries.join(open_groups.select("h"), "h")
-    buckets = 4 * shuffle_parts(shared.sparkSession)
-    dealt = rows.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket")).applyInArrow(cross, _ROWS)
-    return dealt.select("x", "y", "p", "q").distinct()
+    buckets = 4 * shuffle_parts(entries.sparkSession)
+    dealt = rows.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket")).applyInArrow(pair, "x long, y long, p int, q int")
+    met = dealt.groupBy("x", "y", "p", "q").agg(F.count("*").alias("met"))
+    least = F.ceil(F.lit(percent) * (F.col("p").cast("long") + F.col("q")) / (100 + percent))
+    return met.where(F.col("met") >= F.least(F.lit(MEETINGS), least)).select("x", "y", "p", "q")
 
 
-def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, order, words: int, percent: int) -> DataFrame:
-    """The pairs (x, y, p, q) whose similarity reaches the threshold, by partial overlaps per fragment: (a, b)."""
-    count = pairs.count()
+def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, count: int, order, words: int, percent: int) -> DataFrame:
+    """Those of the ``count`` pairs (x, y, p, q) whose similarity reaches the threshold, by partial overlaps per fragment: (a, b)."""
     groups = -(-2 * count // 4096)
-    if not count:
-        return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
     nth = F.floor((F.row_number().over(Window.partitionBy("x").orderBy("y")) - 1) / PARTNERS)
     placed = written(
         pairs.withColumn("group", F.pmod(F.xxhash64("x", nth), F.lit(groups)).cast("int")), "pairs")
     wanted = placed.select(F.explode(F.array("x", "y")).alias("node"), "group").groupBy("node").agg(F.collect_set("group").alias("groups"))
     wanted = written(wanted.join(reps, "node").select("id", "node", "groups"), "wanted")
-    of = docs.join(wanted, "id").select("node", "groups", "text")
+    # a merge join whatever the size of ``wanted``: the plan for a small corpus is that for a large one
+    of = docs.join(wanted.hint("merge"), "id").select("node", "groups", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
@@ -311,14 +304,28 @@ def jaccard_components(
     sizes, counts = shingled(docs, words)
     order = df.sparkSession.sparkContext.broadcast(GlobalOrder.of(counts))
     reps = written(sizes.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id")), "nodes")
-    meetings = _meetings(docs, order, words, percent)
-    shared = written(meetings.where(F.col("kind") == _SHARED).select("x", "y", "p", "q").distinct(), "shared")
-    first = written(meetings.where(F.col("kind") == _PAIR).select("x", "y", "p", "q").distinct(), "first")
-    links = _verified(docs, reps, first, order, words, percent)
-    component = written(connected_components(links), "components")
-    crossing = written(_crossing(shared, component, percent).join(first.select("x", "y"), ["x", "y"], "left_anti"), "crossing")
-    more = _verified(docs, reps, crossing, order, words, percent)
-    component = connected_components(links.unionByName(more))
+    shared = written(_meetings(docs, order, words, percent).distinct(), "shared")
+    seen, component = None, None
+    for most in AHEAD:
+        entries = shared.withColumn("component", F.col("node"))
+        if component is not None:
+            of = component.withColumnRenamed("component", "now")
+            entries = shared.join(of, "node", "left").select("h", "node", "n", "at", F.coalesce("now", "node").alias("component"))
+        pairs = _candidates(written(entries, "entries"), percent, most)
+        if seen is not None:
+            pairs = pairs.join(seen.select("x", "y"), ["x", "y"], "left_anti")
+        pairs = written(pairs, "pairs")
+        count = pairs.count()
+        if not count:
+            continue
+        seen = pairs if seen is None else seen.unionByName(pairs)
+        found = _verified(docs, reps, pairs, count, order, words, percent)
+        if component is None:
+            component = written(connected_components(found), "components")
+        else:
+            component = written(merged_components(component, found), "components")
+    if component is None:
+        component = reps.select("node", F.col("node").alias("component")).limit(0)
     of = reps.join(component, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "id")
     of = written(of, "final")
     smallest = of.groupBy("component").agg(F.min("id").alias("component_id"))
