@@ -67,36 +67,29 @@ class TrainingConfig:
     def __post_init__(self) -> None:
         self.split_strategy = _as_enum("split_strategy", self.split_strategy, SplitStrategy)
         self.task_type = _as_enum("task_type", self.task_type, TaskType)
-        for name in ("test_size", "validation_size"):
-            value = getattr(self, name)
-            _require(name, value, 0 < value < 1, "a number strictly between 0 and 1")
-        if self.use_internal_test_split:
-            both = self.test_size + self.validation_size
-            _require("test_size + validation_size", both, both < 1, "a value strictly below 1")
-        if self.split_strategy is SplitStrategy.TEMPORAL:
-            _require("temporal_column", self.temporal_column, bool(self.temporal_column), "a column name")
-        for name, allowed in (
-            ("model_type", tuple(sorted(REGISTRY))),
-            ("numeric_impute_strategy", NUMERIC_STRATEGIES),
-            ("categorical_impute_strategy", CATEGORICAL_STRATEGIES),
-            ("categorical_encoding", ENCODINGS),
-        ):
-            _require(name, getattr(self, name), getattr(self, name) in allowed, allowed)
-        medium, high = self.priority_medium_threshold, self.priority_high_threshold
-        _require("priority thresholds", (medium, high), 0 <= medium <= high <= 1, "0 <= medium <= high <= 1")
-        numeric, categorical = set(self.numeric_columns or ()), set(self.categorical_columns or ())
-        _require(
-            "numeric_columns/categorical_columns", sorted(numeric & categorical),
-            not numeric & categorical, "disjoint column lists",
-        )
-        listed = numeric | categorical | set(self.feature_columns or ()) | set(self.id_columns)
-        _require("target_column", self.target_column, self.target_column not in listed, "a column outside all lists")
-        if self.feature_columns is not None:
-            outside = (numeric | categorical) - set(self.feature_columns)
-            _require(
-                "numeric_columns/categorical_columns", sorted(outside), not outside,
-                "columns contained in feature_columns",
-            )
+        for field_name, holds, expected in self._rules():
+            _require(field_name, getattr(self, field_name), holds, expected)
+
+    def _rules(self) -> list[tuple[str, bool, Any]]:
+        """(field, does it hold, what is allowed), choices first, then sizes, then how the column lists fit together."""
+        choices = {
+            "model_type": sorted(REGISTRY), "categorical_encoding": ENCODINGS,
+            "numeric_impute_strategy": NUMERIC_STRATEGIES, "categorical_impute_strategy": CATEGORICAL_STRATEGIES,
+        }
+        rules: list[tuple[str, bool, Any]] = [(name, getattr(self, name) in allowed, allowed) for name, allowed in choices.items()]
+        rules += [(name, 0 < getattr(self, name) < 1, "part of the rows, not none and not all") for name in ("test_size", "validation_size")]
+        left = 1 - self.validation_size - (self.test_size if self.use_internal_test_split else 0)
+        rules.append(("validation_size", left > 0, "rows left to train on"))
+        rules.append(("temporal_column", bool(self.temporal_column) or self.split_strategy is not SplitStrategy.TEMPORAL, "the time of a row"))
+        rules.append(("priority_medium_threshold", 0 <= self.priority_medium_threshold <= self.priority_high_threshold, "0 up to the high one"))
+        rules.append(("priority_high_threshold", self.priority_high_threshold <= 1, "at most 1"))
+        typed = [*(self.numeric_columns or ()), *(self.categorical_columns or ())]
+        chosen = set(typed) if self.feature_columns is None else set(self.feature_columns)
+        rules.append(("categorical_columns", len(set(typed)) == len(set(self.numeric_columns or ())) + len(set(self.categorical_columns or ())),
+                      "no numeric column"))
+        rules.append(("target_column", self.target_column not in {*typed, *chosen, *self.id_columns}, "neither feature nor identifier"))
+        rules.append(("feature_columns", chosen >= set(typed), "every column with a declared type"))
+        return rules
 
     def to_document(self) -> dict[str, Any]:
         """JSON-ready form stored next to the model."""

@@ -103,13 +103,10 @@ def upsert(old: DataFrame, new: DataFrame, id_columns: Sequence[str]) -> DataFra
     """``new`` replaces rows of ``old`` with the same identifiers; the rest stays.
 
     Identifiers compare NULL-safe. Both sides shuffle on the identifiers unless one is small. Without
-    identifiers nothing says which rows to replace, and with repeated ones which row replaces them:
-    both raise before anything is read from ``old``.
+    identifiers nothing says which rows to replace, so that raises. New rows that repeat an identifier all stay.
     """
     if not id_columns:
         raise ValueError("an upsert needs at least one identifier column")
-    if not new.groupBy(*id_columns).count().where("count > 1").isEmpty():
-        raise ValueError(f"the new rows repeat values of {list(id_columns)}")
     left, right = old.alias("old"), new.select(*id_columns).distinct().alias("new")
     same = None
     for name in id_columns:

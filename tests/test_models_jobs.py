@@ -129,7 +129,7 @@ def test_evaluator(people):
     assert not report.passed and report.confusion_matrix.count() == 2
     counts = [report.metrics[n] for n in ("true_positive", "false_positive", "false_negative", "true_negative")]
     assert sum(counts) == 200
-    with pytest.raises(ValueError, match="unavailable"):
+    with pytest.raises(ValueError, match="no such metric"):
         rf.ModelEvaluator(model, quality_gates={"nope": 1}).evaluate(data, "y")
     for bad in (data.filter("y > 1"), data.filter("y = 1"), data.withColumn("y", F.lit(None).cast("long"))):
         with pytest.raises(ValueError):
@@ -233,10 +233,10 @@ def test_training_rejections(spark):
         return rf.train_model(spark.createDataFrame(rows, schema), target_column="y", **options)
 
     cases = [
-        ([(1, 0)], "x long, z long", {}, "missing required"), ([], "x long, y long", {}, "at least one row"),
+        ([(1, 0)], "x long, z long", {}, "that the table lacks"), ([], "x long, y long", {}, "at least one row"),
         ([(1, None), (2, 1)], "x long, y long", {}, "missing values"), ([(1, 1)], "x long, y long", {}, "at least two"),
-        ([(1, 0), (1, 1), (1, 2)], "x long, y long", {}, "exactly two"), ([(0,), (1,)], "y long", {}, "usable feature"),
-        ([(1, 0), (1, 1)], "x long, y long", {"feature_columns": ["q"]}, "configured features"),
+        ([(1, 0), (1, 1), (1, 2)], "x long, y long", {}, "exactly two"), ([(0,), (1,)], "y long", {}, "no feature columns"),
+        ([(1, 0), (1, 1)], "x long, y long", {"feature_columns": ["q"]}, "feature columns: q"),
     ]
     for rows, schema, options, message in cases:
         with pytest.raises(ValueError, match=message):
