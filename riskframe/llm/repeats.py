@@ -33,7 +33,7 @@ from .suffixes import MARK, repeated_windows
 WIDTH, ANCHOR, SIDE = 50, 24, 13
 SLICE_BYTES = 4 << 20
 #: Records a task holds before it sends them; strings of a suffix array.
-FLUSH, STRINGS = 1 << 21, 1024
+FLUSH, STRINGS = 1 << 20, 1024
 #: Document of a row without id: after all others.
 _LAST = 2**63 - 1
 _PLACE = np.uint64((1 << 23) - 1)
@@ -182,7 +182,7 @@ def _meetings(docs: DataFrame, buckets: int, homes: int) -> DataFrame:
         keys, e = keys[order], e[order]
         same = keys[1:] == keys[:-1]
         lone = ~(np.append(False, same) | np.append(same, False))
-        go_on, rows = [e[lone]], []
+        go_on, spans, asks = [e[lone]], [np.empty(0, _SPAN)], [np.empty(0, _ASK)]
         bucket = [(keys[lone] & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)]
         if not lone.all():
             # the low half of the hash tells keys apart that agree in the stored half
@@ -192,13 +192,17 @@ def _meetings(docs: DataFrame, buckets: int, homes: int) -> DataFrame:
             for k in np.unique(part):
                 some, whole, several, shared, head = settle(met[part == k])
                 ask = several & shared & ~whole
-                rows += _dealt(_spans(some[whole]), some["doc"][whole] % homes, homes, _SPANS)
-                rows += _dealt(_asks(some[ask]), some["doc"][ask] % homes, homes, _ASKS)
+                spans.append(_spans(some[whole]))
+                asks.append(_asks(some[ask]))
                 some["asked"] = ask
                 on = (~whole & ~ask) | _first_of(ask, head)
                 go_on.append(some[on])
                 bucket.append(np.full(int(on.sum()), k, np.uint64))
-        rows = [(-1 - home, kind, block) for home, kind, block in rows]  # below zero: for documents
+        rows = []
+        for kind, parts in ((_SPANS, spans), (_ASKS, asks)):
+            records = np.concatenate(parts)
+            # buckets below zero are for documents
+            rows += [(-1 - home, kind, block) for home, _, block in _dealt(records, records["doc"] % homes, homes, kind)]
         rows += _dealt(np.concatenate(go_on), np.concatenate(bucket).astype(np.int64), buckets, _STRETCHES)
         yield from _batch(rows)
 
@@ -350,7 +354,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = df.sparkSession
     buckets = shuffle_parts(spark)
-    homes = 4 * buckets + 1
+    homes = buckets
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     home = F.pmod(F.coalesce(F.col("id").cast("long"), F.lit(_LAST)), F.lit(homes)).cast("int")
