@@ -31,7 +31,7 @@ from .suffixes import MARK, repeated_windows
 
 # ANCHOR + 2 * SIDE is WIDTH: a window has SIDE bytes on one side of its anchor at least
 WIDTH, ANCHOR, SIDE = 50, 24, 13
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Records a task holds before it sends them; strings of a suffix array.
 FLUSH, STRINGS = 1 << 20, 1024
 #: Document of a row without id: after all others.
@@ -277,18 +277,40 @@ def _taken(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return data[np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)]
 
 
+def _met(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of parts sorted by key: which share their key with another document, and the number of their key."""
+    starts = np.flatnonzero(np.append(True, parts["key"][1:] != parts["key"][:-1]))
+    counts = np.diff(np.append(starts, len(parts)))
+    met = np.minimum.reduceat(parts["doc"], starts) < np.maximum.reduceat(parts["doc"], starts)
+    return np.repeat(met, counts), np.repeat(np.arange(len(starts)), counts)
+
+
 def compare_parts(parts: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Step 3: spans of the windows of these parts that also occur in a smaller document's part."""
+    """Step 3: spans of the windows of these parts that also occur in a smaller document's part.
+
+    Parts that are equal strings count once: those of larger documents are repeated as a whole.
+    """
     size = parts["size"].astype(np.int64)
     begin = np.cumsum(size) - size
     order = np.argsort(parts["key"], kind="stable")
+    met, _ = _met(parts[order])
+    order = order[met]
     parts, begin, size = parts[order], begin[order], size[order]
-    starts = np.flatnonzero(np.append(True, parts["key"][1:] != parts["key"][:-1]))
-    counts = np.diff(np.append(starts, len(parts)))
-    met = np.repeat(np.minimum.reduceat(parts["doc"], starts) < np.maximum.reduceat(parts["doc"], starts), counts)
-    group = np.repeat(np.arange(len(starts)), counts)[met]
-    parts, begin, size = parts[met], begin[met], size[met]
-    spans, at = [np.empty(0, _SPAN)], 0
+    if not len(parts):
+        return np.empty(0, _SPAN)
+    raw, names = text.tobytes(), {}
+    name = np.fromiter((names.setdefault((k, raw[a:a + n]), len(names)) for k, a, n in zip(
+        parts["key"].tolist(), begin.tolist(), size.tolist())), np.int64, len(parts))
+    smallest = np.full(len(names), _LAST)
+    np.minimum.at(smallest, name, parts["doc"])
+    whole = parts["doc"] > smallest[name]
+    equal = np.empty(int(whole.sum()), _SPAN)
+    equal["doc"], equal["tag"], equal["start"] = parts["doc"][whole], parts["tag"][whole], parts["first"][whole]
+    equal["stop"] = equal["start"] + size[whole]
+    parts, begin, size = parts[~whole], begin[~whole], size[~whole]
+    met, group = _met(parts)
+    parts, begin, size, group = parts[met], begin[met], size[met], group[met]
+    spans, at = [equal], 0
     while at < len(parts):  # whole groups up to about STRINGS strings
         stop = min(at + STRINGS, len(parts))
         stop = int(np.searchsorted(group, group[stop - 1], side="right"))
