@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from typing import Iterator
 
 import pyarrow as pa
@@ -48,6 +50,15 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_memory() -> None:
+    """Give what earlier tasks of this Python worker have freed back to the machine: workers live through many stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each slice holds about ``limit`` bytes of ``column`` or a single row."""
     for batch in batches:

@@ -22,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts, slices, written
+from .common import free_memory, shuffle_parts, slices, written
 from .components import connected_components, merged_components
 from .shingles import mixed, shingle_sets
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Cells of the count table (4 bytes each) and the parts it is summed in.
 CELLS, PARTS = 1 << 22, 16
 #: Fragments of the global order, prefix entries a task holds before it sends them, partners of a node in one group.
-FRAGMENTS, FLUSH, PARTNERS = 8, 1 << 20, 1024
+FRAGMENTS, FLUSH, PARTNERS = 4, 1 << 20, 1024
 _ENTRY = np.dtype([("h", "<i8"), ("node", "<i8"), ("n", "<i4"), ("at", "<i4")])
 _ROWS = "h long, node long, n int, at int"
 #: Shared prefix shingles that two sets must have (as many as they need to share at all, if that is less).
@@ -165,6 +165,7 @@ def _meetings(df: DataFrame, order, words: int, percent: int) -> DataFrame:
                                              ["bucket", "met", "entries", *inner.schema.names])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         places, held, n_held = order.value, [], 0
         for part in slices(batches, "text", SLICE_BYTES):
             for shingles in shingle_sets(part.column("text").to_pylist(), words):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts, slices, written
+from .common import free_memory, shuffle_parts, slices, written
 from .shingles import mixed, powers
 from .suffixes import MARK, repeated_windows
 
@@ -207,6 +207,7 @@ def _meetings(docs: DataFrame, buckets: int, homes: int) -> DataFrame:
         yield from _batch(rows)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         keys, records, held = [], [], 0
         for part in slices(batches, "text", SLICE_BYTES):
             key, record = stretches(_encoded(part.column("text")), _as_docs(part.column("id")))
@@ -397,6 +398,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.Table.from_batches(_batch(_dealt_parts(np.concatenate(parts), np.concatenate(strings), buckets)), _SCHEMA)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         for kinds in _gathered(batches).values():
             both = [_parts_and_strings(block) for block in kinds[_PARTS]]
             spans = compare_parts(*(np.concatenate(x) for x in zip(*both)))
