@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 from typing import Iterator
 
 import numpy as np
@@ -22,19 +23,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import free_memory, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 17, 4
+DROPOUT, SEED, VARIANTS = 0.1, 17, 2
 #: Segmentations a worker keeps per variant before it starts anew; bounds its memory.
-KEEP = 400_000
-SLICE_BYTES = 8 << 20
+KEEP = 250_000
+SLICE_BYTES = 2 << 20
 _MARK, _LETTER = r"(?:[^\w \n]|[\d_¹²³])", r"[^\W\d_¹²³]"
 UNIT = re.compile(rf" *{_MARK}*{_LETTER}+| *{_MARK}+| +|\n")
 #: What a vocabulary must not have inside a piece for ``UNIT`` to hold; else the whole text is one unit.
 CROSSING = re.compile(rf"[^ ] |{_LETTER}{_MARK}|\n.|.\n", re.S)
 SPACE = "▁"
-_MASK = 0xFFFFFFFF
+#: The keyed hash of a candidate: (key * (2 * piece + 1) + start * _PLACE) * _SPREAD, its bits 24 to 55.
+_PLACE, _SPREAD, _MASK = 0x9E3779B1, 0x9E3779B97F4A7C15, 0xFFFFFFFF
+#: Symbol of a character without a piece, of one merged away, and an agenda place without candidate.
+_OTHER, _GONE, _NONE = 0xFFFF, -1, 1 << 62
+#: Units up to so many characters search a list for the best candidate, longer ones keep a heap.
+SHORT = 48
 
 _loaded: dict[tuple, "Pieces"] = {}
 
@@ -55,18 +61,21 @@ class Pieces:
             if p.type == 6:
                 self.byte_ids[int(p.piece[1:-1], 16)] = k
                 self.bytes_of[k] = bytes([int(p.piece[1:-1], 16)])
-        #: (left id, right id) -> (rank, merged id) for every way to put a piece together from two
+        #: left id and right id -> rank of the score and merged id, for every way to put a piece together from two
+        ranks = {score: k for k, score in enumerate(sorted({score for _, _, score in normal}, reverse=True))}
         self.merges = {}
         for k, piece, score in normal:
             text = piece.replace(SPACE, " ")
             for at in range(1, len(text)):
                 left, right = self.id_of.get(text[:at]), self.id_of.get(text[at:])
                 if left is not None and right is not None:
-                    self.merges[left, right] = (-score, k)
+                    self.merges[left << 16 | right] = ranks[score] << 16 | k
+        #: one character -> its piece, or ``_OTHER``; a literal space mark has none
+        self.characters = {c: k for c, k in self.id_of.items() if len(c) == 1 and c != SPACE}
         self.unit = re.compile("(?s).+") if any(map(CROSSING.search, self.id_of)) else UNIT
         self.limit = int(dropout * 2**32)
         self.seed = seed
-        self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        self.known = [_Known(self, variant) for variant in range(VARIANTS)]
 
     @staticmethod
     def of(model: bytes, dropout: float, seed: int) -> "Pieces":
@@ -76,48 +85,69 @@ class Pieces:
             _loaded[key] = Pieces(*key)
         return _loaded[key]
 
-    def merge(self, unit: str, variant: int) -> list[int]:
-        """The piece ids of one unit."""
-        symbols: list = [self.id_of.get(c) if c != SPACE else None for c in unit]
-        n, merges, limit = len(symbols), self.merges, self.limit
+    def merge(self, unit: str, variant: int) -> bytes:
+        """The piece ids of one unit as packed 32-bit integers."""
+        find = self.characters.get
+        symbols = [find(c, _OTHER) for c in unit]
+        key = zlib.crc32(unit.encode("utf-8", "surrogatepass"), self.seed * VARIANTS + variant)
+        if len(symbols) <= SHORT:
+            symbols, starts = self._merge_short(symbols, key)
+        else:
+            symbols, starts = self._merge_long(symbols, key)
+        if _OTHER in symbols:  # these are single characters still
+            symbols = [x for s, a in zip(symbols, starts) for x in ([s] if s != _OTHER else [self.byte_ids[b] for b in unit[a].encode()])]
+        return array("i", symbols).tobytes()
+
+    def _merge_short(self, symbols: list[int], key: int) -> tuple[list[int], list[int]]:
+        """The agenda as a list with one place per pair of neighbours, searched for its best."""
+        find, limit = self.merges.get, self.limit
+        starts = list(range(len(symbols)))
+        agenda = [find(a << 16 | b, _NONE) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == _NONE:
+                break
+            at, piece = agenda.index(best), best & 0xFFFF
+            if limit and (key * (2 * piece + 1) + starts[at] * _PLACE) * _SPREAD >> 24 & _MASK < limit:
+                agenda[at] = _NONE
+                continue
+            symbols[at] = piece
+            del symbols[at + 1], starts[at + 1], agenda[at]
+            if at:
+                agenda[at - 1] = find(symbols[at - 1] << 16 | piece, _NONE)
+            if at < len(agenda):
+                agenda[at] = find(piece << 16 | symbols[at + 1], _NONE)
+        return symbols, starts
+
+    def _merge_long(self, symbols: list[int], key: int) -> tuple[list[int], list[int]]:
+        """The same with the agenda as a heap, for units of any length."""
+        n, find, limit = len(symbols), self.merges.get, self.limit
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = []
+
+        def propose(left: int, right: int) -> None:
+            found = find(symbols[left] << 16 | symbols[right], _NONE)
+            if found != _NONE:
+                heapq.heappush(agenda, (found, left, right, symbols[left], symbols[right]))
+
         for at in range(n - 1):
-            found = merges.get((symbols[at], symbols[at + 1]))
-            if found:
-                agenda.append((found[0], at, at + 1, symbols[at], symbols[at + 1], found[1]))
-        heapq.heapify(agenda)
-        key = zlib.crc32(unit.encode("utf-8", "surrogatepass"), self.seed * VARIANTS + variant)
+            propose(at, at + 1)
         while agenda:
-            _, left, right, a, b, piece = heapq.heappop(agenda)
+            best, left, right, a, b = heapq.heappop(agenda)
             if symbols[left] != a or symbols[right] != b or after[left] != right:
                 continue
-            if limit:
-                h = (key + left * 0x9E3779B1 + piece * 0x85EBCA6B + right * 0xC2B2AE35) & _MASK
-                h = ((h ^ (h >> 16)) * 0x7FEB352D) & _MASK
-                h = ((h ^ (h >> 15)) * 0x846CA68B) & _MASK
-                if h ^ (h >> 16) < limit:
-                    continue
-            symbols[left], symbols[right] = piece, -1
+            piece = best & 0xFFFF
+            if limit and (key * (2 * piece + 1) + left * _PLACE) * _SPREAD >> 24 & _MASK < limit:
+                continue
+            symbols[left], symbols[right] = piece, _GONE
             far = after[left] = after[right]
             if far < n:
                 before[far] = left
-                found = merges.get((piece, symbols[far]))
-                if found:
-                    heapq.heappush(agenda, (found[0], left, far, piece, symbols[far], found[1]))
-            near = before[left]
-            if near >= 0:
-                found = merges.get((symbols[near], piece))
-                if found:
-                    heapq.heappush(agenda, (found[0], near, left, symbols[near], piece, found[1]))
-        out, at = [], 0
-        while at < n:
-            if symbols[at] is None:
-                out.extend(self.byte_ids[b] for b in unit[at].encode())
-            else:
-                out.append(symbols[at])
-            at = after[at]
-        return out
+                propose(left, far)
+            if before[left] >= 0:
+                propose(before[left], left)
+        starts = [at for at in range(n) if symbols[at] != _GONE]
+        return [symbols[at] for at in starts], starts
 
     def encode(self, text: str, key: str) -> bytes:
         """The ids of a whole text as packed 32-bit integers; ``key`` turns the order of the variants."""
@@ -127,15 +157,10 @@ class Pieces:
         out: list = [b""] * len(units)
         turn = zlib.crc32(key.encode(), self.seed) % VARIANTS
         for k in range(VARIANTS):
-            variant = (k + turn) % VARIANTS
-            known, some = self.known[variant], units[k::VARIANTS]
-            missing = [u for u in set(some) if u not in known]
-            if len(known) + len(missing) > KEEP:
-                known = self.known[variant] = {}
-                missing = set(some)
-            for unit in missing:
-                known[unit] = np.array(self.merge(unit, variant), np.int32).tobytes()
-            out[k::VARIANTS] = [known[u] for u in some]
+            known = self.known[(k + turn) % VARIANTS]
+            if len(known) > KEEP:
+                known.clear()
+            out[k::VARIANTS] = [known[u] for u in units[k::VARIANTS]]
         return b"".join(out)
 
     def decode(self, ids) -> str:
@@ -143,6 +168,17 @@ class Pieces:
         return whole[1:].decode() if whole else ""
 
 
+class _Known(dict):
+    """Segmentations of one variant, made when first asked for."""
+
+    def __init__(self, pieces: Pieces, variant: int):
+        self.pieces, self.variant = pieces, variant
+
+    def __missing__(self, unit: str) -> bytes:
+        self[unit] = found = self.pieces.merge(unit, self.variant)
+        return found
+
+
 def read_model(path: str = MODEL) -> bytes:
     with open(path, "rb") as file:
         return file.read()
@@ -164,6 +200,7 @@ def encode_pieces(
     shared = df.sparkSession.sparkContext.broadcast(read_model(model))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         pieces = Pieces.of(shared.value, dropout, seed)
         for part in slices(batches, "text", SLICE_BYTES):
             packed = [None if t is None else pieces.encode(t, str(k))
