@@ -3,7 +3,7 @@
 Every vector is projected to ``DIMENSIONS`` Gaussian (2-stable) directions: the squared projected distance of two
 vectors is their squared distance times a chi-square variable. Blocks of vectors are indexed by a kd-tree over the
 projections. For a query, leaves come in the order of their projected distance and their vectors are compared
-exactly. With the leaves up to projected distance r seen and the k-th exact distance d, a vector nearer than d is
+exactly; equal vectors are one point of the tree and share their distance. With the leaves up to projected distance r seen and the k-th exact distance d, a vector nearer than d is
 still unseen with a chance of at most 1 - chi2(r^2 / d^2); the search stops when that is below ``MISS``.
 
 All rows are indexed. Queries meet every block: queries and candidates are dealt into blocks, each query block is
@@ -60,13 +60,36 @@ def kd_leaves(points: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
     return leaves
 
 
+def distinct_vectors(vectors: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(firsts, rows, group): the row of each distinct vector's smallest id; the rows of the ``most`` smallest ids of
+    every distinct vector, and for each of these which of the ``firsts`` it equals."""
+    by_id = np.argsort(ids, kind="stable")
+    packed = np.ascontiguousarray(vectors[by_id] + 0.0)  # -0.0 equals 0.0
+    keys = packed.view(f"V{packed.itemsize * packed.shape[1]}").ravel()
+    _, first, group = np.unique(keys, return_index=True, return_inverse=True)
+    rows = np.argsort(group, kind="stable")
+    group = group[rows]
+    few = np.arange(len(rows)) - np.searchsorted(group, np.arange(len(first)))[group] < most
+    return by_id[first], by_id[rows[few]], group[few]
+
+
 def search_block(queries, query_ids, vectors, ids, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row of the query, ids, distances) of the k best of this block by distance, then id, as far as searched."""
+    """(row of the query, ids, distances) of the k best of this block by distance, then id, as far as searched.
+
+    The tree holds each distinct vector once, so that its copies are met together, however many there are; k + 1 of
+    them suffice, as a query is no neighbour of its own.
+    """
     axes = directions(vectors.shape[1])
-    projected = vectors @ axes
+    firsts, members, group = distinct_vectors(vectors, ids, k + 1)
+    projected = vectors[firsts] @ axes
     leaves = kd_leaves(projected)
     low = np.stack([projected[rows].min(axis=0) for rows in leaves])
     high = np.stack([projected[rows].max(axis=0) for rows in leaves])
+    leaf_of = np.empty(len(firsts), np.int64)
+    for at, rows in enumerate(leaves):
+        leaf_of[rows] = at
+    leaf_of = leaf_of[group]
+    leaves = np.split(members[np.argsort(leaf_of, kind="stable")], np.cumsum(np.bincount(leaf_of, minlength=len(leaves)))[:-1])
     enough = chi2_quantile(1 - MISS)
     for row, (query, own) in enumerate(zip(queries, query_ids)):
         at = query @ axes

@@ -51,6 +51,25 @@ def test_neighbours_against_brute_force(spark, block_values):
     assert {r["query_id"] for r in got} == set(range(0, 400, 20))
 
 
+def test_ties_among_thousands_of_copies_go_to_the_smallest_ids():
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((9000, 12))
+    copies = np.sort(rng.choice(9000, 3000, replace=False))
+    vectors[copies] = vectors[copies[0]]
+    vectors[copies[1::2], 0] = vectors[copies[0], 0] = 0.0
+    vectors[copies[2::2], 0] = -0.0
+    ids = rng.permutation(9000)
+    queries = np.concatenate([copies[:5], np.setdiff1d(np.arange(9000), copies)[:20]])
+    # a query that is no copy but nearest to the group
+    vectors[queries[-1]] = vectors[copies[0]] + 1e-3
+    for row, found, distance in neighbours.search_block(vectors[queries], ids[queries], vectors, ids, 10):
+        exact = np.sqrt(((vectors - vectors[queries[row]]) ** 2).sum(axis=1))
+        want = [k for k in np.lexsort((ids, exact)) if ids[k] != ids[queries[row]]][:10]
+        if row < 5 or row == len(queries) - 1:
+            assert found.tolist() == ids[want].tolist() and np.allclose(distance, exact[want])
+        assert len(set(found.tolist())) == 10 and ids[queries[row]] not in found
+
+
 def test_few_neighbours_and_empty_tables(spark):
     df = spark.createDataFrame([(100, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [0.0, 1.0], 0)], SCHEMA)
     got = sorted(tuple(r) for r in neighbours.nearest_neighbours(df, df.where("vec_id = 100")).collect())
