@@ -5,7 +5,7 @@ Each stage takes the documents its predecessor kept and returns documents; the l
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import table, written
@@ -44,8 +44,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document."""
-    encoded = encode_pieces(docs, keep=("lang", "source", "n_chars"))
+    """The pieces of every document; those that the mix took more than once are cut differently each time."""
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang", "n_chars")
+    encoded = encode_pieces(docs.withColumn("nth", F.row_number().over(same)), keep=("lang", "source", "n_chars"), copy_col="nth")
     return encoded.select("doc_id", "lang", "source", "n_chars", "pieces")
 
 

@@ -1,10 +1,12 @@
 """SentencePiece BPE with seeded merge-dropout, and its lossless inverse.
 
 A text is cut into units no piece can cross: no piece of the vocabulary has a space after another character,
-punctuation or digits after a letter, or a line feed among others. Each unit is merged by an agenda of candidate pairs, best piece first, leftmost first; a candidate that comes up is
-skipped for good if a keyed hash of it falls below the dropout rate. The key holds the seed, the unit and one of
-``VARIANTS`` variants that the unit's place in the document selects, so that the same word is cut in various ways,
-reruns agree, and every (unit, variant) is merged once per Python worker and then looked up.
+punctuation or digits after a letter, or a line feed among others. Each unit is merged by an agenda of candidate
+pairs, best piece first, leftmost first; a candidate that comes up is skipped for good with the chance of dropout.
+Chances are drawn from a generator keyed by the seed and the document's id, in the order of its units: every place of
+every document has draws of its own, and reruns agree. What a unit becomes depends only on which of its candidates, by
+the order in which they come up, are skipped, so a Python worker merges every (unit, skipped candidates) once and then
+looks it up.
 
 Decoding joins the pieces and drops the space in front that encoding adds. Characters without a piece, and a
 literal U+2581, become byte pieces, so every text decodes to itself.
@@ -12,9 +14,9 @@ literal U+2581, become byte pieces, so every text decodes to itself.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
-import zlib
 from array import array
 from typing import Iterator
 
@@ -26,21 +28,24 @@ from pyspark.sql import functions as F
 from .common import free_memory, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 17, 2
-#: Segmentations a worker keeps per variant before it starts anew; bounds its memory.
+DROPOUT, SEED = 0.1, 17
+#: Segmentations a worker keeps, plain and dropped ones each, before it starts anew; bounds its memory.
 KEEP = 250_000
+#: Patterns of skipped candidates that are kept: those of the first twelve; others are merged each time.
+VARIANTS = 1 << 12
+#: Bits of the chance of dropout, and units whose draws are made at a time.
+CHANCE_BITS, DRAWN = 16, 1 << 14
 SLICE_BYTES = 2 << 20
 _MARK, _LETTER = r"(?:[^\w \n]|[\d_¹²³])", r"[^\W\d_¹²³]"
 UNIT = re.compile(rf" *{_MARK}*{_LETTER}+| *{_MARK}+| +|\n")
 #: What a vocabulary must not have inside a piece for ``UNIT`` to hold; else the whole text is one unit.
 CROSSING = re.compile(rf"[^ ] |{_LETTER}{_MARK}|\n.|.\n", re.S)
 SPACE = "▁"
-#: The keyed hash of a candidate: (key * (2 * piece + 1) + start * _PLACE) * _SPREAD, its bits 24 to 55.
-_PLACE, _SPREAD, _MASK = 0x9E3779B1, 0x9E3779B97F4A7C15, 0xFFFFFFFF
 #: Symbol of a character without a piece, of one merged away, and an agenda place without candidate.
 _OTHER, _GONE, _NONE = 0xFFFF, -1, 1 << 62
-#: Units up to so many characters search a list for the best candidate, longer ones keep a heap.
-SHORT = 48
+#: Units up to so many characters search a list for the best candidate, longer ones keep a heap. n characters have at
+#: most 3 (n - 1) candidates: n - 1 pairs and two more per merge. Those of a short unit fit in a word of 64 draws.
+SHORT = 22
 
 _loaded: dict[tuple, "Pieces"] = {}
 
@@ -73,9 +78,9 @@ class Pieces:
         #: one character -> its piece, or ``_OTHER``; a literal space mark has none
         self.characters = {c: k for c, k in self.id_of.items() if len(c) == 1 and c != SPACE}
         self.unit = re.compile("(?s).+") if any(map(CROSSING.search, self.id_of)) else UNIT
-        self.limit = int(dropout * 2**32)
+        self.chance = round(dropout * 2**CHANCE_BITS)
         self.seed = seed
-        self.known = [_Known(self, variant) for variant in range(VARIANTS)]
+        self.plain, self.skipped = {}, {}
 
     @staticmethod
     def of(model: bytes, dropout: float, seed: int) -> "Pieces":
@@ -85,22 +90,26 @@ class Pieces:
             _loaded[key] = Pieces(*key)
         return _loaded[key]
 
-    def merge(self, unit: str, variant: int) -> bytes:
-        """The piece ids of one unit as packed 32-bit integers."""
+    def merge(self, unit: str, skip: int = 0) -> bytes:
+        """The piece ids of one unit as packed 32-bit integers; candidates whose bits are set in ``skip``, by the order
+        in which they come up, are skipped."""
+        return self._merged(unit, skip)[1]
+
+    def _merged(self, unit: str, skip) -> tuple[int, bytes]:
+        """A bit for every candidate that came up, and the packed piece ids; for long units ``skip`` is a byte each."""
         find = self.characters.get
         symbols = [find(c, _OTHER) for c in unit]
-        key = zlib.crc32(unit.encode("utf-8", "surrogatepass"), self.seed * VARIANTS + variant)
-        if len(symbols) <= SHORT:
-            symbols, starts = self._merge_short(symbols, key)
+        if isinstance(skip, bytes):
+            (symbols, starts), came = self._merge_long(symbols, skip), 0
         else:
-            symbols, starts = self._merge_long(symbols, key)
+            symbols, starts, came = self._merge_short(symbols, skip)
         if _OTHER in symbols:  # these are single characters still
             symbols = [x for s, a in zip(symbols, starts) for x in ([s] if s != _OTHER else [self.byte_ids[b] for b in unit[a].encode()])]
-        return array("i", symbols).tobytes()
+        return came, array("i", symbols).tobytes()
 
-    def _merge_short(self, symbols: list[int], key: int) -> tuple[list[int], list[int]]:
+    def _merge_short(self, symbols: list[int], skip: int) -> tuple[list[int], list[int], int]:
         """The agenda as a list with one place per pair of neighbours, searched for its best."""
-        find, limit = self.merges.get, self.limit
+        find, bit = self.merges.get, 1
         starts = list(range(len(symbols)))
         agenda = [find(a << 16 | b, _NONE) for a, b in zip(symbols, symbols[1:])]
         while agenda:
@@ -108,7 +117,9 @@ class Pieces:
             if best == _NONE:
                 break
             at, piece = agenda.index(best), best & 0xFFFF
-            if limit and (key * (2 * piece + 1) + starts[at] * _PLACE) * _SPREAD >> 24 & _MASK < limit:
+            drop = skip & bit
+            bit <<= 1
+            if drop:
                 agenda[at] = _NONE
                 continue
             symbols[at] = piece
@@ -117,11 +128,11 @@ class Pieces:
                 agenda[at - 1] = find(symbols[at - 1] << 16 | piece, _NONE)
             if at < len(agenda):
                 agenda[at] = find(piece << 16 | symbols[at + 1], _NONE)
-        return symbols, starts
+        return symbols, starts, bit - 1
 
-    def _merge_long(self, symbols: list[int], key: int) -> tuple[list[int], list[int]]:
+    def _merge_long(self, symbols: list[int], skip: bytes) -> tuple[list[int], list[int]]:
         """The same with the agenda as a heap, for units of any length."""
-        n, find, limit = len(symbols), self.merges.get, self.limit
+        n, find, came = len(symbols), self.merges.get, 0
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = []
 
@@ -137,7 +148,8 @@ class Pieces:
             if symbols[left] != a or symbols[right] != b or after[left] != right:
                 continue
             piece = best & 0xFFFF
-            if limit and (key * (2 * piece + 1) + left * _PLACE) * _SPREAD >> 24 & _MASK < limit:
+            came += 1
+            if skip and skip[came - 1]:
                 continue
             symbols[left], symbols[right] = piece, _GONE
             far = after[left] = after[right]
@@ -149,18 +161,58 @@ class Pieces:
         starts = [at for at in range(n) if symbols[at] != _GONE]
         return [symbols[at] for at in starts], starts
 
+    def _draws(self, source: np.random.BitGenerator, n: int) -> np.ndarray:
+        """``n`` words of 64 draws; a bit is set with the chance of dropout, which its binary digits build from random bits."""
+        if self.chance >> CHANCE_BITS:
+            return np.full(n, 2**64 - 1, np.uint64)
+        random = source.random_raw(n * CHANCE_BITS).reshape(n, CHANCE_BITS)
+        words = np.zeros(n, np.uint64)
+        for digit in range(CHANCE_BITS):
+            (np.bitwise_or if self.chance >> digit & 1 else np.bitwise_and)(words, random[:, digit], out=words)
+        return words
+
+    def _skipping(self, unit: str, skip: int, came: int) -> bytes:
+        """The piece ids of a short unit of which ``came`` come up, and some are skipped, without dropout."""
+        while True:
+            pattern = skip & came
+            found = self.skipped.get((unit, pattern))
+            if found is None:
+                found = self._merged(unit, skip)
+                if skip & found[0] < VARIANTS:
+                    self.skipped[unit, skip & found[0]] = found
+                return found[1]
+            came, ids = found
+            if skip & came == pattern & came:  # else skipping has brought up others, which are skipped, too
+                return ids
+
     def encode(self, text: str, key: str) -> bytes:
-        """The ids of a whole text as packed 32-bit integers; ``key`` turns the order of the variants."""
+        """The ids of a whole text as packed 32-bit integers; ``key`` is that of the document's draws."""
         if not text:
             return b""
-        units = self.unit.findall(" " + text)
-        out: list = [b""] * len(units)
-        turn = zlib.crc32(key.encode(), self.seed) % VARIANTS
-        for k in range(VARIANTS):
-            known = self.known[(k + turn) % VARIANTS]
-            if len(known) > KEEP:
-                known.clear()
-            out[k::VARIANTS] = [known[u] for u in units[k::VARIANTS]]
+        units, plain, out = self.unit.findall(" " + text), self.plain, []
+        hashed = int.from_bytes(hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        source = np.random.SFC64([self.seed % 2**64, hashed]) if self.chance else None
+        for start in range(0, len(units), DRAWN):
+            some = units[start:start + DRAWN]
+            for known in (plain, self.skipped):
+                if len(known) > KEEP:
+                    known.clear()
+            draws = self._draws(source, len(some)).tolist() if source else [0] * len(some)
+            for unit, skip in zip(some, draws):
+                found = plain.get(unit)
+                if found is not None:
+                    came, ids = found
+                    if skip & came:
+                        ids = self._skipping(unit, skip, came)
+                elif len(unit) <= SHORT:
+                    came, ids = self._merged(unit, skip)
+                    if not skip & came:
+                        plain[unit] = came, ids
+                else:
+                    # draws of their own, keyed by this unit's: the generator of the document stays in step
+                    words = self._draws(np.random.SFC64([hashed, skip, len(out)]), -(-3 * len(unit) // 64)) if source else np.empty(0, np.uint64)
+                    ids = self._merged(unit, np.unpackbits(words.view(np.uint8), bitorder="little").tobytes())[1]
+                out.append(ids)
         return b"".join(out)
 
     def decode(self, ids) -> str:
@@ -168,17 +220,6 @@ class Pieces:
         return whole[1:].decode() if whole else ""
 
 
-class _Known(dict):
-    """Segmentations of one variant, made when first asked for."""
-
-    def __init__(self, pieces: Pieces, variant: int):
-        self.pieces, self.variant = pieces, variant
-
-    def __missing__(self, unit: str) -> bytes:
-        self[unit] = found = self.pieces.merge(unit, self.variant)
-        return found
-
-
 def read_model(path: str = MODEL) -> bytes:
     with open(path, "rb") as file:
         return file.read()
@@ -186,30 +227,34 @@ def read_model(path: str = MODEL) -> bytes:
 
 def encode_pieces(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
-    keep: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (), copy_col: str | None = None,
 ) -> DataFrame:
     """Per row: id, the text, the columns ``keep``, pieces (array<int>). Null text has null pieces, empty text none;
-    equal rows agree.
+    equal rows agree. With ``copy_col``, a row's number among its copies, each copy has draws of its own.
 
     ``model`` is a path on the driver; the vocabulary (half a megabyte) is broadcast. ``dropout`` 0 is plain BPE.
     """
     names = [f"k{n}" for n in range(len(keep))]
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
-                     *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)])
-    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+                     *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)],
+                     *[F.col(f"`{c}`").alias("copy") for c in [copy_col] if c is not None])
+    width = 2 + len(keep)
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes[:width])
     shared = df.sparkSession.sparkContext.broadcast(read_model(model))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_memory()
         pieces = Pieces.of(shared.value, dropout, seed)
         for part in slices(batches, "text", SLICE_BYTES):
-            packed = [None if t is None else pieces.encode(t, str(k))
-                      for k, t in zip(part.column("id").to_pylist(), part.column("text").to_pylist())]
+            keys = [str(k) for k in part.column("id").to_pylist()]
+            if copy_col is not None:
+                keys = [f"{k} {n}" for k, n in zip(keys, part.column("copy").to_pylist())]
+            packed = [None if t is None else pieces.encode(t, k) for k, t in zip(keys, part.column("text").to_pylist())]
             values = pa.array(np.frombuffer(b"".join(x or b"" for x in packed), np.int32))
             ends = np.cumsum([len(x or b"") // 4 for x in packed])
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in packed]))
-            yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "pieces"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:width], lists], [*part.schema.names[:width], "pieces"])
 
     return rows.mapInArrow(encode, f"{kinds}, pieces array<int>").toDF(id_col, text_col, *keep, "pieces")
 

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from riskframe.llm import pieces
 
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -47,3 +48,51 @@ def test_encode_and_decode_tables(spark):
     assert all((r["pieces"] is None) == (r["text"] is None) for r in got)
     assert len({str(r["pieces"]) for r in got if r["doc_id"] == 1}) == 1
     assert pieces.decode_pieces(pieces.encode_pieces(docs.limit(0))).count() == 0
+
+
+def test_every_place_and_document_has_draws_of_its_own():
+    word, times = " understanding", 4000
+    plain = PLAIN.merge(word)
+
+    def cuts(of, key):
+        """The pieces of each occurrence."""
+        out = [[]]
+        for k in ids(of, (word * times)[1:], key):
+            if len(b"".join(of.bytes_of[x] for x in out[-1])) == len(word):
+                out.append([])
+            out[-1].append(k)
+        return [tuple(x) for x in out]
+
+    of = pieces.Pieces(MODEL, 0.1, 17)
+    first, second = cuts(of, "1"), cuts(of, "2")
+    assert len(first) == times and len(set(first)) > 8
+    assert first != second and first == cuts(pieces.Pieces(MODEL, 0.1, 17), "1")
+    merges = of._merged(word, 0)[0].bit_length()
+    whole = sum(np.array(x, np.int32).tobytes() == plain for x in first) / times
+    assert 0.9**merges < whole < 0.9  # none of its merges drops, or others make up for it
+
+
+@pytest.mark.parametrize("chance", [0.1, 0.5, 1.0])
+def test_draws_have_the_chance_of_dropout(chance):
+    words = pieces.Pieces(MODEL, chance, 3)._draws(np.random.SFC64(5), 20000)
+    assert np.unpackbits(words.view(np.uint8)).mean() == pytest.approx(chance, abs=0.003)
+
+
+def test_long_and_short_merges_agree():
+    rng = np.random.default_rng(2)
+    for word in (" understanding", " internationalisations", "aaaaaaaaaaaaaaaaaaaa"):
+        for _ in range(50):
+            skip = int(VARIED._draws(np.random.SFC64(int(rng.integers(1 << 30))), 1)[0])
+            long = bytes(skip >> k & 1 for k in range(64))
+            came = VARIED._merged(word, 0)[0]
+            assert VARIED._merged(word, skip)[1] == VARIED._merged(word, long)[1]
+            for _ in range(2):  # made and looked up
+                assert not skip & came or VARIED._skipping(word, skip, came) == VARIED.merge(word, skip)
+
+
+def test_copies_of_a_document_differ(spark):
+    text = "international understanding of governments " * 30
+    docs = spark.createDataFrame([(1, text, "en", "s", 9)] * 2 + [(2, text, "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.tokens(spark, docs, "").collect()
+    assert len(got) == 3 and len({tuple(r["pieces"]) for r in got}) == 3
+    assert sorted(map(str, got)) == sorted(map(str, corpus_pipeline.tokens(spark, docs.repartition(3), "").collect()))
