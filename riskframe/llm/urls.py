@@ -28,6 +28,8 @@ SEEDS = (
     "loan", "loans", "lottery", "malware", "nude", "payday", "phishing", "pills", "poker", "porn", "prize", "replica",
     "sex", "slots", "spam", "torrent", "viagra", "warez", "win", "winner", "xxx",
 )
+#: Seed words are counted this share of the total more often in the unigram model, so that a corpus of any size cuts alike.
+SEED_SHARE = 1e-4
 #: Longest word of the unigram model, in characters; longer runs are cut or spelled out by single characters.
 MAX_WORD = 24
 
@@ -90,6 +92,14 @@ def best_cut(label: str, starts, lengths, logs, unknown: float) -> list[str]:
     return cut[::-1]
 
 
+def with_seeds(words: DataFrame, seeds) -> DataFrame:
+    """``words(word, n)`` where every seed word has ``SEED_SHARE`` of the total count, or 1, on top of its own."""
+    seed_words = local_frame(words.sparkSession, [(w,) for w in sorted(set(seeds))], "word string")
+    more = math.ceil(SEED_SHARE * int(words.agg(F.sum("n")).first()[0] or 0)) or 1
+    both = words.unionByName(seed_words.withColumn("n", F.lit(more).cast("long")))
+    return both.groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def segmented(labels: DataFrame, words: DataFrame) -> DataFrame:
     """label, words (array) for the distinct ``labels(label)`` by the counts in ``words(word, n)``."""
     total, kinds = words.agg(F.sum("n"), F.count("*")).first()
@@ -123,7 +133,7 @@ def filter_urls(
 
     Null URLs and URLs without ``://`` have empty host and path and no tokens: the class prior decides. Ties
     and data without any seed word allow. Numbers in a path are one token whatever their value. Equal rows are
-    judged alike. Seed words count once more in the unigram model, so that they can be cut out of a name.
+    judged alike. Seed words have a share of the unigram model, so that they can be cut out of a name.
     """
     url = F.coalesce(F.col(f"`{url_col}`"), F.lit(""))
     pages = written(
@@ -133,8 +143,7 @@ def filter_urls(
     shape = F.regexp_replace(ascii_lower(F.col("path")), r"[0-9]+", "0")
     kinds = written(pages.groupBy("host", shape.alias("shape")).agg(F.count("*").alias("n")), "shapes")
     seed_words = local_frame(df.sparkSession, [(w,) for w in sorted(set(seeds))], "word string")
-    words = word_counts(df, html_col).unionByName(seed_words.withColumn("n", F.lit(1).cast("long")))
-    words = written(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    words = written(with_seeds(written(word_counts(df, html_col), "title-words"), seeds), "words")
     parts = F.explode(F.split(F.concat_ws("/", "host", "shape"), r"[^\p{L}]+")).alias("label")
     labels = kinds.select(parts).where(F.length("label") > 0).distinct()
     names = written(segmented(labels, words), "names")

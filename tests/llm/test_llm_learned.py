@@ -166,3 +166,14 @@ def test_bayes_against_counts_by_hand(spark):
 
     assert got[1] == pytest.approx(odds(block)) and got[1] > 0
     assert got[2] == got[3] == pytest.approx(odds(allow)) and got[2] < 0
+
+
+@pytest.mark.parametrize("times", [1, 1000])
+def test_seed_words_stay_whole_in_titles_of_any_size(spark, times):
+    title = ("be t w in lo an por n arez " + "filler words of a page " * 60) * times
+    seeded = ["win", "bet", "loan", "porn", "warez"]
+    names = [*seeded, "garden", "page", "words", "filler", "pages", "wordpage", "fillerpage"]
+    pages = spark.createDataFrame(
+        [(k, f"http://{name}.com/a", f"<title>{title if k == 0 else 'com'}</title>") for k, name in enumerate(names)], "page_id long, url string, html string")
+    got = {names[r["page_id"]]: r["verdict"] for r in urls.filter_urls(pages).collect()}
+    assert {name for name, verdict in got.items() if verdict == "block"} == set(seeded)
