@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from .common import slices
 
 UNKNOWN = "und"
-#: The learning sample: per language at most ``SAMPLE_TEXTS`` distinct texts with ``SAMPLE_CHARS`` characters of each.
+#: The learning sample: per language at most ``SAMPLE_TEXTS`` distinct pieces of ``SAMPLE_CHARS`` characters, each from
+#: another text and from anywhere in it.
 SAMPLE_TEXTS, SAMPLE_CHARS = 128, 160
 #: A text is parsed in blocks of so many symbols (a phrase ends at a block's end), so one long text is as many lanes.
 BLOCK = 1024
@@ -133,12 +134,19 @@ class Automata:
 
 
 def learning_sample(labelled: DataFrame) -> tuple[tuple[str, bytes], ...]:
-    """Per language a bounded sample of ``labelled(lang, text)``: one text per hash bucket, so copies count once."""
-    hashed = F.xxhash64("text")
+    """Per language a bounded sample of ``labelled(lang, text)``: of every text the piece at a place that the text's hash
+    selects (or from its first letter, if that has none), of the pieces one per hash bucket, so that equal pieces, such as
+    a line that many texts open with, count once."""
+    letter = F.lit(r"\p{L}")
+    places = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    piece = F.substring("text", (F.pmod(F.xxhash64("text"), places) + 1).cast("int"), SAMPLE_CHARS)
+    first = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{SAMPLE_CHARS - 1}}}", 0)
+    hashed = F.xxhash64("piece")
     chosen = (
-        labelled.where(F.col("lang").isNotNull() & F.rlike("text", F.lit(r"\p{L}")))
+        labelled.where(F.col("lang").isNotNull() & F.rlike("text", letter))
+        .select("lang", F.when(F.rlike(piece, letter), piece).otherwise(first).alias("piece"))
         .groupBy("lang", F.pmod(hashed, F.lit(SAMPLE_TEXTS)).alias("bucket"))
-        .agg(F.min(F.struct(hashed.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))).alias("x"))
+        .agg(F.min(F.struct(hashed.alias("h"), F.col("piece").alias("text"))).alias("x"))
         .select("lang", "bucket", "x.text").collect()
     )
     by_language: dict[str, list] = {}

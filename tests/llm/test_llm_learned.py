@@ -177,3 +177,21 @@ def test_seed_words_stay_whole_in_titles_of_any_size(spark, times):
         [(k, f"http://{name}.com/a", f"<title>{title if k == 0 else 'com'}</title>") for k, name in enumerate(names)], "page_id long, url string, html string")
     got = {names[r["page_id"]]: r["verdict"] for r in urls.filter_urls(pages).collect()}
     assert {name for name, verdict in got.items() if verdict == "block"} == set(seeded)
+
+
+def test_language_sample_is_not_what_all_texts_open_with(spark):
+    rng = random.Random(3)
+    banner = "Home | About | Terms of use | All rights reserved to the holders. " * 8
+    words = {"de": "der hund und die katze gehen heute nicht mehr nach hause weil es regnet".split(),
+             "fr": "le chien et la chatte ne vont plus chez eux parce que cela mouille".split()}
+    bodies = [(lang, " ".join(rng.choice(w) for _ in range(300))) for lang, w in words.items() for _ in range(200)]
+    samples = language.learning_sample(spark.createDataFrame([(lang, banner + body) for lang, body in bodies], "lang string, text string"))
+    assert [name for name, _ in samples] == ["de", "fr"]
+    for name, sample in samples:
+        pieces = sample.decode().split("\n")
+        assert len(set(pieces)) == len(pieces) <= language.SAMPLE_TEXTS
+        assert sum(piece not in banner * 2 for piece in pieces) > len(pieces) / 3
+    docs = spark.createDataFrame([(k, body) for k, (_, body) in enumerate(bodies)], "doc_id long, text string")
+    assert all(r["lang_pred"] == bodies[r["doc_id"]][0] for r in language.identify_languages(docs, samples).collect())
+    late = spark.createDataFrame([("xx", "1 " * 5000 + "abc"), ("yy", "abc" + " 1" * 5000)], "lang string, text string")
+    assert [name for name, _ in language.learning_sample(late)] == ["xx", "yy"]
