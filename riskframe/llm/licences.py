@@ -19,18 +19,27 @@ SPELLINGS = (
     ("behaviour", "behavior"), ("fulfil ", "fulfill "), ("copyright owner", "copyright holder"), ("https://", "http://"),
     ("per cent", "percent"),
 )
-#: A line that only states who holds the copyright.
+#: A notice of who holds the copyright, at the start of a line: a sign, a year or a holder follows, not another word of a
+#: sentence about copyright. It ends with its line or where the licence begins.
+NOTICE = (
+    r"(?dm)^[ \t*#/;-]*(?:copyright[ \t:,]*(?:\(c\)|©|[0-9]{4})|\(c\)[ \t:,]*(?:copyright|[0-9]{4})|©|copyright[ \t]+"
+    r"(?!(?:notices?|holders?|owners?|laws?|licenses?|statements?|interests?|protection|permission|disclaimer|acts?|treat(?:y|ies)"
+    r"|and|or|of|in|on|to|is|are|as|for|may|shall|must|can|will|that|which|under|with|infringement)\b)[^ \t\n])"
+    r"[^\n]*?(?=\n|\z|\b(?:permission (?:is|to)|redistribution and use|licensed under|released under|mit license"
+    r"|this (?:software|program|work|file|library) is)\b)"
+)
+#: Lines that the oracle drops; on tables where only notices start so, the results agree.
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(copyright|\(c\)|©)[^\n]*$"
 #: Whatever is neither a line feed, an ASCII letter or digit nor beyond ASCII; © is punctuation, too.
 PUNCTUATION = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F©]+"
 
 
 def _levelled(text: Column) -> Column:
-    """Case, equivalent spellings, copyright lines and punctuation levelled; line feeds stay."""
+    """Case, equivalent spellings, copyright notices and punctuation levelled; line feeds stay."""
     out = ascii_lower(F.coalesce(text, F.lit("")))
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
-    out = F.regexp_replace(out, COPYRIGHT_LINE, " ")
+    out = F.regexp_replace(out, NOTICE, " ")
     return F.regexp_replace(out, PUNCTUATION, " ")
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import textwrap
 from collections import defaultdict
 
 import pytest
@@ -125,3 +126,18 @@ def test_known_licences_differ_after_normalising(spark):
     table = spark.createDataFrame(sorted(KNOWN.items()), "name string, text string")
     digests = [r[0] for r in table.select(licences.digest(F.col("text"))).collect()]
     assert all(a != b for a, b in itertools.combinations(digests, 2))
+
+
+def test_licences_found_under_any_wrapping(spark):
+    rows = []
+    for name, text in KNOWN.items():
+        for width in (40, 60, 72, 79, 100, 10**6):
+            wrapped = "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+            rows += [(name, wrapped), (name, "Copyright (c) 2020, Some One\n\n" + wrapped), (name, "# (C) 1999 Some One\n" + wrapped)]
+    isc = KNOWN["ISC"].replace("\n", " ").replace("above copyright", "above\ncopyright")
+    mit = " ".join(KNOWN["MIT"].split())
+    rows += [("ISC", isc), ("MIT", "Copyright (c) 2020 Some One. " + mit), ("MIT", "Copyright Some One\n" + mit), ("MIT", "© Some One\r\n" + mit)]
+    rows += [(None, "(c) You must keep this.\n" + mit), (None, "copyright law applies\n" + mit)]
+    docs = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(rows)], "doc_id long, text string")
+    for r in licences.scan_licences(docs).collect():
+        assert r["license"] == rows[r["doc_id"]][0], rows[r["doc_id"]]
