@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import licences
+from . import exact_copies, licences
 from .catalog import register
 from .common import table
 from .jaccard import jaccard_components
@@ -83,3 +83,8 @@ def op9_mix_sources(spark, sf_dir):
 @register("op10_url_filter")
 def op10_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"))
+
+
+@register("op11_exact_copies", exact_copies.oracle())
+def op11_exact_copies(spark, sf_dir):
+    return exact_copies.exact_copies(table(spark, sf_dir, "documents"))
