@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_copies, licences
+from . import exact_copies, licences, ranked_search
 from .catalog import register
 from .common import table
 from .jaccard import jaccard_components
@@ -88,3 +88,8 @@ def op10_url_filter(spark, sf_dir):
 @register("op11_exact_copies", exact_copies.oracle())
 def op11_exact_copies(spark, sf_dir):
     return exact_copies.exact_copies(table(spark, sf_dir, "documents"))
+
+
+@register("op12_ranked_search", ranked_search.oracle())
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
