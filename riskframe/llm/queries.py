@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_copies, licences, ranked_search
+from . import collocations, exact_copies, licences, ranked_search
 from .catalog import register
 from .common import table
 from .jaccard import jaccard_components
@@ -93,3 +93,8 @@ def op11_exact_copies(spark, sf_dir):
 @register("op12_ranked_search", ranked_search.oracle())
 def op12_ranked_search(spark, sf_dir):
     return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@register("op13_collocations", collocations.oracle())
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
