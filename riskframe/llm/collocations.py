@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, free_memory, written
 from .word_index import WordIndex, cut_runs
 
-#: Bytes of text in a shard.
-SHARD_BYTES = 16 << 20
+#: Bytes of text in a shard: a task holds an index of it, about 20 times as large.
+SHARD_BYTES = 8 << 20
 #: Shards that a task fills at the same time, one a language, hold so many times the bytes of a shard at most.
 OPEN_SHARDS = 3
 #: Bits of the number of an n-gram within its shard, and of the number of a shard within its partition.
@@ -32,7 +32,7 @@ _BYTES = bytes(10 if b in ENDS else 32 if b in BLANKS else b + 32 if 65 <= b <=
 
 _SHARDS = "lang string, shard long, total long, words array<string>, counts array<int>, seq binary"
 _STATE = "lang string, shard long, words binary, marks binary, names binary"
-_GRAMS = "shard long, number int, prefix long, suffix long, n long"
+_GRAMS = "own long, prefix long, suffix long, n long"
 
 
 class _Numbers(dict):
@@ -109,15 +109,15 @@ def _lookup(known: pa.Table, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut_words(shards: pa.Table, known: pa.Table) -> pa.Table:
-    """First state: runs of frequent words. A word is its own mark."""
+    """First state: runs of frequent words. A word is its own mark, so marks are left out."""
     if not shards.num_rows or not known.num_rows:
         return _NO_STATE
     free_memory()
     seq = np.frombuffer(shards.column("seq")[0].as_py(), np.int32)
     mark, names = _lookup(known, int(seq.max(initial=0)))
     words = mark[seq]
-    words, marks = cut_runs(words, words, 1)
-    return _state_row(shards.column("lang")[0].as_py(), shards.column("shard")[0].as_py(), words, marks, names)
+    words = cut_runs(words, words, 1)[0]
+    return _state_row(shards.column("lang")[0].as_py(), shards.column("shard")[0].as_py(), words, words[:0], names)
 
 
 def _cut_grams(length: int):
@@ -148,17 +148,18 @@ def _grams(length: int):
                 names = np.frombuffer(batch.column("names")[row].as_py(), np.int64)
                 if not len(words):
                     continue
+                marks = marks if len(marks) else words
                 index = WordIndex(words, length)
                 first, size = index.ngrams()
                 if len(size) >= 1 << NUMBER_BITS:
                     raise ValueError("a shard holds too many n-grams")
                 at = index.places(first)
                 del index
-                out = [np.full(len(size), batch.column("shard")[row].as_py(), np.int64), np.arange(1, len(size) + 1, dtype=np.int32),
-                       names[marks[at]], names[marks[at + 1]], size.astype(np.int64)]
+                own = (batch.column("shard")[row].as_py() << NUMBER_BITS) + np.arange(1, len(size) + 1)
+                out = [own, names[marks[at]], names[marks[at + 1]], size.astype(np.int64)]
                 for start in range(0, len(size), 1 << 16):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[start:start + (1 << 16)]) for c in out], names=["shard", "number", "prefix", "suffix", "n"])
+                        [pa.array(c[start:start + (1 << 16)]) for c in out], names=["own", "prefix", "suffix", "n"])
 
     return grams
 
@@ -166,10 +167,15 @@ def _grams(length: int):
 def _frequent(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
     """Rows of the keys with a sum of ``least`` or more over all shards, with that sum ``f`` and the common ``name``."""
     same = Window.partitionBy(*keys)
-    own = F.shiftleft("shard", NUMBER_BITS) + F.col("number")
     return written(
-        rows.withColumn("f", F.sum("n").over(same)).withColumn("own", own).withColumn("name", F.min("own").over(same))
-        .where(F.col("f") >= least).drop("n"), name)
+        rows.withColumns({"f": F.sum("n").over(same), "name": F.min("own").over(same)}).where(F.col("f") >= least).drop("n"), name)
+
+
+def _cut(state: DataFrame, known: DataFrame, cut, name: str) -> DataFrame:
+    """The next state of every shard, from what it has and which of its n-grams are frequent."""
+    own = known.select(
+        F.shiftright("own", NUMBER_BITS).alias("shard"), F.col("own").bitwiseAND((1 << NUMBER_BITS) - 1).cast("int").alias("number"), "name")
+    return written(state.groupBy("shard").cogroup(own.groupBy("shard")).applyInArrow(cut, _STATE), name)
 
 
 def _longer(known: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -190,20 +196,17 @@ def phrase_counts(df: DataFrame, least: int = 30, text_col: str = "text", lang_c
     shards = written(texts.mapInArrow(_shards, _SHARDS), "shards")
     totals = written(shards.groupBy("lang").agg(F.sum("total").alias("total")), "totals")
     words = shards.select("lang", "shard", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
-        "lang", "shard", (F.col("at") + 1).alias("number"), F.col("w.words").alias("word"), F.col("w.counts").cast("long").alias("n"))
+        "lang", (F.shiftleft("shard", NUMBER_BITS) + F.col("at") + 1).alias("own"), F.col("w.words").alias("word"), F.col("w.counts").cast("long").alias("n"))
     known = _frequent(words, ["lang", "word"], least, "words")
     first = known.where(F.col("own") == F.col("name")).select(
         "name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
     levels = [written(first, "level1")]
-    state = written(
-        shards.groupBy("shard").cogroup(known.select("shard", "number", "name").groupBy("shard")).applyInArrow(_cut_words, _STATE), "state1")
+    state = _cut(shards.select("lang", "shard", "seq"), known, _cut_words, "state1")
     for length in range(2, LONGEST + 1):
         known = _frequent(state.mapInArrow(_grams(length), _GRAMS), ["prefix", "suffix"], least, f"grams{length}")
         levels.append(written(_longer(known, levels[-1]), f"level{length}"))
         if length < LONGEST:
-            state = written(
-                state.groupBy("shard").cogroup(known.select("shard", "number", "name").groupBy("shard"))
-                .applyInArrow(_cut_grams(length), _STATE), f"state{length}")
+            state = _cut(state, known, _cut_grams(length), f"state{length}")
     return levels, totals
 
 

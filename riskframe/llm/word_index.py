@@ -21,15 +21,22 @@ class _Side:
 
     def __init__(self, words: np.ndarray, depth: int) -> None:
         self.n, self.base = len(words), int(words.max(initial=0)) + 1
-        inside = words > 0
-        order = key = words.astype(np.int64)
-        for _ in range(depth - 1):
-            ranks = np.unique(order, return_inverse=True)[1] if order is not key else key
-            after = np.append(ranks[1:], 0)
-            order = np.where(inside, key * (int(ranks.max(initial=0)) + 1) + after, 0)
-        self.suffixes = np.argsort(order, kind="stable")
+        ranks, inside = words, words > 0
+        for length in range(2, depth + 1):
+            order = words.astype(np.int64)
+            order *= int(ranks.max(initial=0)) + 1
+            order[:-1] += ranks[1:]
+            order *= inside
+            if length < depth:
+                ranks = np.unique(order, return_inverse=True)[1].astype(np.int32)
+        self.suffixes = np.argsort(order).astype(np.int32)
+        del order, ranks
         self.front = words[self.suffixes - 1]  # in front of the first word stands the 0 at the end
-        self.starts = np.sort(self.front.astype(np.int64) * (self.n + 1) + np.arange(self.n))
+        starts = self.front.astype(np.int64)
+        starts *= self.n + 1
+        starts += np.arange(self.n)
+        starts.sort()
+        self.starts = starts
 
     def step(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Backward search: first suffix that begins with ``symbol`` and goes on with a suffix from ``place`` on."""
@@ -41,13 +48,15 @@ class WordIndex:
 
     def __init__(self, words: np.ndarray, depth: int) -> None:
         self.words, self.depth = words, depth
-        self.sides = (_Side(words, depth), _Side(words[::-1], depth))
+        # the first extension goes to the left, so the reverse is needed from three words on
+        self.sides = [_Side(words, depth)] + [_Side(words[::-1], depth) for _ in range(depth > 2)]
 
     def _extend(self, side: int, first: tuple[np.ndarray, np.ndarray], size: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
         """All intervals one word longer: on the left by the transform of the sequence (0), on the right by its reverse (1)."""
         here = self.sides[side]
-        parent = np.repeat(np.arange(len(size)), size)
-        keys, count = np.unique(parent * here.base + here.front[ranges(first[side], size)], return_counts=True)
+        keys = np.repeat(np.arange(len(size)) * here.base, size)
+        keys += here.front[ranges(first[side], size)]
+        keys, count = np.unique(keys, return_counts=True)
         parent, symbol = np.divmod(keys, here.base)
         smaller = np.cumsum(count) - count  # of the whole level; less what lies before the parent
         smaller -= (np.cumsum(size) - size)[parent]
