@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, free_memory, written
+from .common import LOWER, UPPER, discard, free_memory, written
 from .word_index import WordIndex, cut_runs
 
 #: Bytes of text in a shard: a task holds an index of it, about 20 times as large.
@@ -202,11 +202,13 @@ def phrase_counts(df: DataFrame, least: int = 30, text_col: str = "text", lang_c
         "name", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
     levels = [written(first, "level1")]
     state = _cut(shards.select("lang", "shard", "seq"), known, _cut_words, "state1")
+    discard(shards, known)
     for length in range(2, LONGEST + 1):
         known = _frequent(state.mapInArrow(_grams(length), _GRAMS), ["prefix", "suffix"], least, f"grams{length}")
         levels.append(written(_longer(known, levels[-1]), f"level{length}"))
         if length < LONGEST:
-            state = _cut(state, known, _cut_grams(length), f"state{length}")
+            before, state = state, _cut(state, known, _cut_grams(length), f"state{length}")
+            discard(before, known)
     return levels, totals
 
 
