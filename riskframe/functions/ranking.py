@@ -1,176 +1,202 @@
 """Exact order statistics, cut keys and dense codes without a single-task sort.
 
-Each helper narrows the search with bounded aggregates (sketches and counts, a few numbers per
-column or class) and touches individual rows only inside the last, small interval. What reaches
-the driver is limited by the number of columns, classes or quantiles, never by the rows.
+Searches work on keys of 64 bits (numbers) or 32 hexadecimal digits (hashes) whose order is that of the values. A round is
+one grouped count of key prefixes, combined before the shuffle; running totals per interval find the prefixes in which the
+wanted ranks fall, and only those are told apart further. Rows are never sorted or collected.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from dataclasses import dataclass
-from functools import reduce
-from typing import Mapping, Sequence
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskframe.functions.columns import bin_index, to_number
-from riskframe.session import ensure_checkpoint_dir, local_frame
+from riskframe.functions.columns import to_number
+from riskframe.session import ensure_checkpoint_dir, local_frame, scratch_path
 
-EXACT_PERCENTILE_ROWS = 200_000  # built-in exact percentile keeps a value map per column
-FINAL_INTERVAL_ROWS = 10_000  # values sorted inside one aggregate buffer
-SKETCH_ACCURACY = 10_000
-LARGE_SKETCH_ACCURACY = 100_000
-MAX_CASE_GROUPS = 64  # groups resolved by a CASE instead of a small join
+ROUND_COUNTERS = 1 << 20  # counters of one round over all open intervals
+MIN_DIGIT_BITS, MAX_DIGIT_BITS = 10, 14
 HEX_DIGITS_PER_LEVEL = 3
+KEY_DIGITS = 32
+LAST_ROUND_ROWS = 1 << 16  # where no open group has more rows left, the next round counts whole keys and is the last
+_MANTISSA = 52
+_INFINITE_KEY = 0x7FF << _MANTISSA
 
 
 def sum_or_zero(values: Column) -> Column:
     return F.coalesce(F.sum(values), F.lit(0))
 
 
-def non_missing_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Rows with a usable number, for all columns in one aggregate."""
+# ---- keys of numbers -----------------------------------------------------------------------
+
+
+def double_key(value: float) -> int:
+    """Whole number that orders as the double does (0.0 and -0.0 are one)."""
+    bits = struct.unpack("<q", struct.pack("<d", abs(value)))[0]
+    return bits if value > 0 else -bits
+
+
+def key_double(key: int) -> float:
+    """The double of a key."""
+    value = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return value if key >= 0 else -value
+
+
+def _whole(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType)
+
+
+def with_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Only ``columns``, as keys: whole numbers as they are, everything else as the bits of its double.
+
+    SQL has no view of a double's bits, so exponent and mantissa are computed: the logarithm proposes the exponent, two
+    comparisons correct it, and dividing by a power of two is exact. Missing, NaN and unreadable values are NULL.
+    """
+    doubles = [c for c in columns if not _whole(df.schema[c].dataType)]
+
+    def step(frame: DataFrame, **made: Column) -> DataFrame:
+        return frame.select(*[F.col(f"`{c}`") for c in frame.columns if c not in made], *[v.alias(n) for n, v in made.items()])
+
+    out = df.select(*[
+        F.col(f"`{c}`").cast("long").alias(f"k{i}") if c not in doubles else to_number(
+            F.col(f"`{c}`").cast("int") if isinstance(df.schema[c].dataType, T.BooleanType) else F.col(f"`{c}`")).alias(f"v{i}")
+        for i, c in enumerate(columns)])
+    places = [columns.index(c) for c in doubles]
+
+    def each(name: str, make) -> dict[str, Column]:
+        return {f"{name}{i}": make(*[F.col(f"{part}{i}") for part in "vaepxq"]) for i in places}
+
+    if places:
+        most, least = F.lit(1.7976931348623157e308), F.lit(2.0**-1022)
+        out = step(out, **each("a", lambda v, *_: F.when(F.abs(v) <= most, F.abs(v))))  # infinite values have none
+        out = step(out, **each("e", lambda v, a, *_: F.least(F.coalesce(F.floor(F.log2(a)), F.lit(0)), F.lit(1023))))
+        out = step(out, **each("p", lambda v, a, e, *_: F.pow(F.lit(2.0), e)))
+        exponents = each("x", lambda v, a, e, p, *_: F.greatest(e - (a < p).cast("int") + (a >= p * 2).cast("int"), F.lit(-1022)))
+        powers = each("q", lambda v, a, e, p, *_: F.greatest(F.when(a < p, p / 2).when(a >= p * 2, p * 2).otherwise(p), least))
+        out = step(out, **exponents, **powers)
+        bits = lambda a, x, q: (x + 1022) * F.lit(1 << _MANTISSA) + (a / q * F.lit(float(1 << _MANTISSA))).cast("long")
+        out = step(out, **each("k", lambda v, a, e, p, x, q: F.signum(v).cast("long") * F.coalesce(bits(a, x, q), F.lit(_INFINITE_KEY))))
+    return out.select(*[F.col(f"k{i}") for i in range(len(columns))])
+
+
+# ---- order statistics ----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Found:
+    """The key at a rank, how many rows lie below it, and how many have it."""
+
+    key: int
+    below: int
+    equal: int
+
+
+@dataclass(frozen=True)
+class _Interval:
+    """Keys ``low`` to ``high`` (both occur) of a column, with ``below`` rows under them and the ranks that fall inside."""
+
+    column: int
+    low: int
+    high: int
+    below: int
+    rows: int
+    ranks: tuple[int, ...]
+
+    def shift(self, bits: int) -> int:
+        """Low bits to leave out so that at most ``2 ** bits`` prefixes remain."""
+        shift = 0
+        while (self.high >> shift) - (self.low >> shift) >= 1 << bits:
+            shift += 1
+        return shift
+
+
+def _codes(intervals: Sequence[tuple[int, _Interval]], bits: int) -> Column:
+    """Code of a key: number of its interval and prefix inside it, NULL outside all; a balanced CASE over the intervals."""
+    key = F.col(f"k{intervals[0][1].column}")
+
+    def pick(some: Sequence[tuple[int, _Interval]]) -> Column:
+        if len(some) == 1:
+            number, x = some[0]
+            shift = x.shift(bits)
+            place = F.shiftright(key, shift) - F.lit(x.low >> shift)
+            return F.when((key >= F.lit(x.low)) & (key <= F.lit(x.high)), F.lit(number << (MAX_DIGIT_BITS + 1)) + place)
+        middle = len(some) // 2
+        return F.when(key < F.lit(some[middle][1].low), pick(some[:middle])).otherwise(pick(some[middle:]))
+
+    return pick(sorted(intervals, key=lambda entry: entry[1].low))
+
+
+def _round(keys: DataFrame, intervals: Sequence[_Interval]) -> list[_Interval]:
+    """One grouped count over all columns: the narrower intervals in which the ranks fall."""
+    bits = min(MAX_DIGIT_BITS, max(MIN_DIGIT_BITS, (ROUND_COUNTERS // len(intervals)).bit_length() - 1))
+    by_column: dict[int, list[tuple[int, _Interval]]] = {}
+    for number, interval in enumerate(intervals):
+        by_column.setdefault(interval.column, []).append((number, interval))
+    entries = [F.struct(F.coalesce(_codes(some, bits), F.lit(-1)).alias("code"), F.col(f"k{c}").alias("key")) for c, some in by_column.items()]
+    # keys outside all intervals share code -1: a filter would be pushed down with the whole key expression in it
+    coded = keys.select(F.inline(F.array(*entries)))
+    counted = coded.groupBy("code").agg(
+        F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    counted = counted.withColumn("interval", F.shiftright("code", MAX_DIGIT_BITS + 1).cast("int"))
+    below = F.sum("n").over(Window.partitionBy("interval").orderBy("code")) - F.col("n")
+    wanted = [(number, rank - x.below) for number, x in enumerate(intervals) for rank in x.ranks]
+    targets = local_frame(keys.sparkSession, wanted, "at int, offset long")  # one row a rank
+    hits = counted.withColumn("below", below).join(
+        F.broadcast(targets), (F.col("interval") == F.col("at")) & (F.col("offset") >= F.col("below"))
+        & (F.col("offset") < F.col("below") + F.col("n"))).collect()
+    if len(hits) != len(wanted):
+        raise RuntimeError("the input changed between two passes of the search")
+    found: dict[tuple[int, int], list] = {}
+    for hit in hits:
+        found.setdefault((hit["interval"], hit["low"]), []).append(hit)
+    out = []
+    for (number, low), same in found.items():
+        x, hit = intervals[number], same[0]
+        ranks = tuple(sorted(x.below + h["offset"] for h in same))
+        out.append(_Interval(x.column, low, hit["high"], x.below + hit["below"], hit["n"], ranks))
+    return out
+
+
+def key_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, int | None, int | None]]:
+    """(rows with a value, smallest key, largest key) of every column, in one aggregate."""
     if not columns:
         return {}
-    row = df.agg(*[F.count(to_number(F.col(f"`{c}`"))).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[f"n{i}"] for i, c in enumerate(columns)}
-
-
-@dataclass
-class _Target:
-    """Search state of one order statistic: it lies strictly inside ``(low, high)``."""
-
-    column: str
-    rank: int
-    low: float | None = None
-    high: float | None = None
-    below: int = 0  # rows at or under ``low``
-    inside: int = 0  # rows strictly inside
-    value: float | None = None
-
-    @property
-    def interval(self) -> tuple:
-        return self.column, self.low, self.high
-
-    def resolve(self, bounds: Sequence[float], less: Sequence[int], equal: Sequence[int]) -> None:
-        """Use counts inside the interval: ``less[i]`` rows under ``bounds[i]``, ``equal[i]`` on it."""
-        offset = self.rank - self.below
-        for bound, under, on in zip(bounds, less, equal):
-            if offset < under:
-                # between the previous bound and this one
-                self.high, self.inside = bound, self.inside_until(under)
-                return
-            if offset < under + on:
-                self.value = bound
-                return
-            self.low = bound
-            self._passed = under + on
-        self.inside = self.inside_until(None)
-
-    _passed: int = 0
-
-    def inside_until(self, under: int | None) -> int:
-        """Close the step: move the lower end and return how many rows remain inside."""
-        remaining = (self.inside if under is None else under) - self._passed
-        self.below += self._passed
-        self._passed = 0
-        return remaining
-
-
-def _inner(interval: tuple) -> Column:
-    """The column where it lies strictly inside the interval, NULL elsewhere."""
-    column, low, high = interval
-    value = F.col(f"`{column}`")
-    inside = value.isNotNull()
-    if low is not None:
-        inside = inside & (value > F.lit(low))
-    if high is not None:
-        inside = inside & (value < F.lit(high))
-    return F.when(inside, value)
-
-
-def _narrow(numbers: DataFrame, targets: Sequence[_Target]) -> None:
-    """One sketch job and one counting job for all open intervals."""
-    groups: dict[tuple, list[_Target]] = {}
-    for target in targets:
-        groups.setdefault(target.interval, []).append(target)
-    intervals = list(groups)
-    sketches = []
-    for i, interval in enumerate(intervals):
-        rows = max(t.inside for t in groups[interval])
-        accuracy = SKETCH_ACCURACY if rows <= SKETCH_ACCURACY * 2_500 else LARGE_SKETCH_ACCURACY
-        margin = 2.0 / accuracy
-        around = set()
-        for t in groups[interval]:
-            position = (t.rank - t.below) / max(t.inside - 1, 1)
-            around.update((max(0.0, position - margin), min(1.0, position + margin)))
-        sketches.append(F.percentile_approx(_inner(interval), sorted(around), accuracy).alias(f"s{i}"))
-    found = numbers.agg(*sketches).first()
-    bounds = [sorted(set(found[f"s{i}"])) for i in range(len(intervals))]
-
-    values = numbers.select(*[_inner(interval).alias(f"v{i}") for i, interval in enumerate(intervals)])
-    # cells alternate between "under the next bound" (even) and "on a bound" (odd)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("interval"),
-                (
-                    bin_index(F.col(f"v{i}"), ends) + bin_index(F.col(f"v{i}"), ends, closed=False)
-                ).alias("cell"),
-            )
-            for i, ends in enumerate(bounds)
-        ]
-    )
-    counted = (
-        values.select(F.inline(cells)).filter(F.col("cell").isNotNull())
-        .groupBy("interval", "cell").agg(F.count("*").alias("n")).collect()
-    )
-    cell_counts = {(row.interval, row.cell): row.n for row in counted}
-    for i, interval in enumerate(intervals):
-        less, equal, running = [], [], 0
-        for j in range(len(bounds[i])):
-            running += cell_counts.get((i, 2 * j), 0)
-            less.append(running)
-            equal.append(cell_counts.get((i, 2 * j + 1), 0))
-            running += equal[-1]
-        for target in groups[interval]:
-            target.resolve(bounds[i], less, equal)
-
-
-def order_statistics(
-    df: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int]
-) -> dict[tuple[str, int], float]:
-    """Exact k-th smallest values (zero-based ranks) of several columns.
-
-    Rows are never shuffled: each round scans once for sketches and once for counts, and shrinks
-    every interval by orders of magnitude. Repeated values cannot stall it, because interval ends
-    are data values and are resolved or excluded in every round.
+    keys = with_keys(df, columns)
+    wanted = []
+    for i in range(len(columns)):
+        wanted += [F.count(f"k{i}").alias(f"n{i}"), F.min(f"k{i}").alias(f"low{i}"), F.max(f"k{i}").alias(f"high{i}")]
+    row = keys.agg(*wanted).first()
+    return {c: (row[f"n{i}"], row[f"low{i}"], row[f"high{i}"]) for i, c in enumerate(columns)}
+
+
+def search_ranks(
+    df: DataFrame, ranks: Mapping[str, Iterable[int]], ranges: Mapping[str, tuple[int, int | None, int | None]]
+) -> dict[tuple[str, int], Found]:
+    """The keys at zero-based ranks of several columns, all searched together.
+
+    Every round reads the columns that are still open once and fixes ten bits or more of every key, fourteen where few
+    intervals are open; an interval with a single key is done. That makes five rounds for a few columns and seven at most.
     """
-    numbers = df.select(*[to_number(F.col(f"`{c}`")).alias(c) for c in ranks])
-    targets = [
-        _Target(column, rank, inside=counts[column])
-        for column, wanted in ranks.items()
-        for rank in sorted(set(wanted))
-    ]
-    while True:
-        wide = [t for t in targets if t.value is None and t.inside > FINAL_INTERVAL_ROWS]
-        if not wide:
-            break
-        _narrow(numbers, wide)
-    rest = [t for t in targets if t.value is None]
-    if rest:
-        intervals = list({t.interval: None for t in rest})
-        lists = [F.sort_array(F.collect_list(_inner(interval))).alias(f"l{i}") for i, interval in enumerate(intervals)]
-        picks = [
-            F.element_at(F.col(f"l{intervals.index(t.interval)}"), t.rank - t.below + 1).alias(f"v{i}")
-            for i, t in enumerate(rest)
-        ]
-        row = numbers.agg(*lists).select(*picks).first()
-        for i, target in enumerate(rest):
-            target.value = row[f"v{i}"]
-    return {(t.column, t.rank): t.value for t in targets}
+    columns = list(ranks)
+    opened, done = [], []
+    for i, column in enumerate(columns):
+        wanted = tuple(sorted(set(ranks[column])))
+        n, low, high = ranges[column]
+        if wanted and not (0 <= wanted[0] and wanted[-1] < n):
+            raise ValueError(f"column '{column}' has {n} values, ranks asked are {wanted}")
+        if wanted:
+            (done if low == high else opened).append(_Interval(i, low, high, 0, n, wanted))
+    keys = with_keys(df, columns)
+    while opened:
+        narrowed = _round(keys, opened)
+        done += [x for x in narrowed if x.low == x.high]
+        opened = [x for x in narrowed if x.low != x.high]
+    return {(columns[x.column], rank): Found(x.low, x.below, x.rows) for x in done for rank in x.ranks}
 
 
 def exact_quantiles(
@@ -178,178 +204,98 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     *,
-    counts: Mapping[str, int] | None = None,
-    exact_rows: int = EXACT_PERCENTILE_ROWS,
+    ranges: Mapping[str, tuple[int, int | None, int | None]] | None = None,
 ) -> dict[str, list[float] | None]:
     """Linearly interpolated quantiles of many columns; ``None`` for a column without values.
 
-    Up to ``exact_rows`` values per column one aggregate with the built-in ``percentile`` answers
-    everything; beyond that its value map would grow with the data and
-    :func:`order_statistics` takes over. Both ways are exact.
+    ``ranges`` (see :func:`key_ranges`) spares a pass where the caller has counted already.
     """
-    counts = dict(counts) if counts is not None else non_missing_counts(df, columns)
-    filled = [c for c in columns if counts[c] > 0]
+    ranges = ranges if ranges is not None else key_ranges(df, columns)
+    positions = {c: [(ranges[c][0] - 1) * p for p in probabilities] for c in columns if ranges[c][0]}
+    ranks = {c: {r for x in at for r in (math.floor(x), math.ceil(x))} for c, at in positions.items()}
+    found = search_ranks(df, ranks, ranges)
     result: dict[str, list[float] | None] = {c: None for c in columns}
-    if not filled:
-        return result
-    if max(counts[c] for c in filled) <= exact_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(
-            *[F.percentile(to_number(F.col(f"`{c}`")), wanted).alias(f"q{i}") for i, c in enumerate(filled)]
-        ).first()
-        for i, column in enumerate(filled):
-            result[column] = list(row[f"q{i}"])
-        return result
-
-    def position(column: str, p: float) -> float:
-        return (counts[column] - 1) * p
-
-    ranks = {
-        c: [r for p in probabilities for r in (math.floor(position(c, p)), math.ceil(position(c, p)))]
-        for c in filled
-    }
-    found = order_statistics(df, ranks, counts)
-    for column in filled:
+    for column, at in positions.items():
+        decode = float if _whole(df.schema[column].dataType) else key_double
         values = []
-        for p in probabilities:
-            exact = position(column, p)
-            low, high = math.floor(exact), math.ceil(exact)
-            a, b = found[(column, low)], found[(column, high)]
-            values.append(a if a == b else a + (b - a) * (exact - low))
+        for x in at:
+            low, high = math.floor(x), math.ceil(x)
+            a, b = decode(found[(column, low)].key), decode(found[(column, high)].key)
+            values.append(a if a == b else a + (b - a) * (x - low))
         result[column] = values
     return result
 
 
-@dataclass(frozen=True)
-class HashCut:
-    """Where a class is cut: keys below ``key`` are chosen, plus ``take`` of ``ties`` rows on it."""
-
-    group: object
-    rows: int
-    quota: int
-    key: str
-    take: int
-    ties: int
-
-
 def long_order_statistic(df: DataFrame, column: str, rank: int) -> int:
-    """Exact k-th smallest value (zero-based rank) of a whole-number column without missing values.
+    """Exact k-th smallest value (zero-based rank) of a whole-number column without missing values."""
+    return search_ranks(df, {column: [rank]}, key_ranges(df, [column]))[(column, rank)].key
 
-    Fixes twelve bits at a time, the high ones first: each round counts the rows per prefix among those that
-    share the prefix found so far, at most 4,096 counts that are combined before the shuffle.
-    """
-    value, scope, shift = F.col(column), df, 52
-    while True:
-        counts = scope.groupBy(F.shiftright(value, shift).alias("prefix")).count().collect()
-        for prefix, rows in sorted((r["prefix"], r["count"]) for r in counts):
-            if rank < rows:
-                break
-            rank -= rows
-        if shift == 0:
-            return prefix
-        scope = df.where(F.shiftright(value, shift) == F.lit(prefix))
-        shift = max(0, shift - 12)
-
-
-def hash_cuts(keys: DataFrame, quota: Column, *, max_groups: int) -> list[HashCut] | None:
-    """Per group of ``(grp, key)``, the hexadecimal key that separates the ``quota`` smallest.
-
-    Digits are fixed three at a time: a grouped count over at most 4,096 prefixes per group finds
-    the prefix in which the cut falls, and only rows with that prefix are told apart further, about
-    1/4096 of them per round. ``quota`` is an expression over the group size column ``rows``.
-    ``None`` when there are more than ``max_groups`` groups.
-    """
-    ordered = Window.partitionBy("grp").orderBy(F.col("prefix").asc_nulls_last())
-    everything = Window.partitionBy("grp")
-
-    def boundary(counted: DataFrame) -> DataFrame:
-        running = counted.select(
-            "*", (F.sum("n").over(ordered) - F.col("n")).alias("before"), F.sum("n").over(everything).alias("rows")
-        )
-        return running
-
-    def first_level() -> list:
-        prefix = F.substring("key", 1, HEX_DIGITS_PER_LEVEL)
-        counted = keys.groupBy("grp", prefix.alias("prefix")).agg(F.count("*").alias("n"))
-        level = boundary(counted).withColumn("quota", quota)
-        hit = (F.col("before") < F.col("quota")) & (F.col("before") + F.col("n") >= F.col("quota"))
-        none_wanted = (F.col("quota") <= 0) & (F.col("before") == 0)
-        return level.filter(hit | none_wanted).limit(max_groups + 1).collect()
-
-    level = first_level()
-    if len(level) > max_groups:
-        return None
-    state = {
-        row.grp: dict(rows=row.rows, quota=max(int(row.quota), 0), prefix=row.prefix, before=row.before, n=row.n)
-        for row in level
-    }
-    done: dict[object, HashCut] = {
-        group: HashCut(group, s["rows"], 0, "", 0, 0) for group, s in state.items() if s["quota"] == 0
-    }
-    while len(done) < len(state):
-        open_groups = {g: s for g, s in state.items() if g not in done}
-        width = max(len(s["prefix"]) for s in open_groups.values())
-        final = width + HEX_DIGITS_PER_LEVEL >= 32 or all(
-            s["n"] <= FINAL_INTERVAL_ROWS for s in open_groups.values()
-        )
-        digits = F.col("key") if final else F.substring("key", 1, width + HEX_DIGITS_PER_LEVEL)
-        counted = _count_inside(keys, {g: s["prefix"] for g, s in open_groups.items()}, digits)
-        needed = _with_need(
-            boundary(counted), {g: s["quota"] - s["before"] for g, s in open_groups.items()}
-        )
-        hits = needed.filter(
-            (F.col("before") < F.col("need")) & (F.col("before") + F.col("n") >= F.col("need"))
-        ).collect()
-        if len(hits) != len(open_groups):
-            raise RuntimeError("the input changed between two passes of the cut search")
-        for row in hits:
-            s = state[row.grp]
-            if final:
-                done[row.grp] = HashCut(
-                    row.grp, s["rows"], s["quota"], row.prefix, int(row.need - row.before), int(row.n)
-                )
-            else:
-                s.update(prefix=row.prefix, before=s["before"] + row.before, n=row.n)
-    return list(done.values())
 
+# ---- cuts of groups ------------------------------------------------------------------------
+
+CUT_COLUMNS = ("grp", "rows", "quota", "key", "take", "ties")
 
-def _by_group(values: Mapping[object, object]) -> Column:
-    """CASE over the group column."""
-    pairs = list(values.items())
-    return reduce(
-        lambda chain, pair: chain.when(F.col("grp").eqNullSafe(F.lit(pair[0])), F.lit(pair[1])),
-        pairs[1:],
-        F.when(F.col("grp").eqNullSafe(F.lit(pairs[0][0])), F.lit(pairs[0][1])),
-    )
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written below the shared folder and read again: the search goes on with what is left, at its true size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _with_need(counted: DataFrame, needs: Mapping[object, int]) -> DataFrame:
-    """Rank still to be reached in each group, as column ``need``."""
-    if len(needs) <= MAX_CASE_GROUPS:
-        return counted.withColumn("need", _by_group(needs))
-    kind = counted.schema["grp"].dataType.simpleString()
-    table = local_frame(counted.sparkSession, list(needs.items()), f"need_grp {kind}, need long")
-    # one row per group, at most the caller's max_groups
-    return counted.join(F.broadcast(table), F.col("grp").eqNullSafe(F.col("need_grp"))).drop("need_grp")
 
+def hash_cuts(keys: DataFrame, quota: Column | DataFrame) -> DataFrame:
+    """Per group of ``(grp, key)`` the hexadecimal key that separates its ``quota`` smallest: one row ``(grp, rows, quota,
+    key, take, ties)`` for each group, however many there are.
 
-def _count_inside(keys: DataFrame, prefixes: Mapping[object, str], digits: Column) -> DataFrame:
-    """Grouped count of ``digits`` for rows whose key starts with the prefix of their group.
+    Keys below ``key`` are chosen, plus ``take`` of the ``ties`` rows on it; the empty key chooses none. Where the quota
+    ends behind a prefix, ``key`` is the last key with it and ``take`` equals ``ties``. ``quota`` is an expression over the
+    group's size ``rows``, or a table ``(grp, quota)``.
 
-    All other rows fall into one NULL bucket per group instead of being filtered: it is combined
-    before the shuffle, sorts last and never holds the cut. (A filter on an expression over many
-    computed columns would make the optimizer derive constraints for all of them.)
+    Three digits are fixed a round, all that are left in the last one. The state is a table with a row for each open group; a group is done when its quota
+    ends exactly behind a prefix or inside a single key, and only rows under the prefix of an open group go on, about 1 of
+    4,096 a round. A NULL group is a group.
     """
-    if len(prefixes) <= MAX_CASE_GROUPS:
-        inside = F.startswith(F.col("key"), _by_group(prefixes))
-        return keys.groupBy("grp", F.when(inside, digits).alias("prefix")).agg(F.count("*").alias("n"))
-    table = local_frame(
-        keys.sparkSession, list(prefixes.items()), f"m_grp {keys.schema['grp'].dataType.simpleString()}, m_prefix string"
-    )
-    # one row per group, at most the caller's max_groups
-    joined = keys.join(F.broadcast(table), F.col("grp").eqNullSafe(F.col("m_grp")))
-    inside = F.startswith(F.col("key"), F.col("m_prefix"))
-    return joined.groupBy("grp", F.when(inside, digits).alias("prefix")).agg(F.count("*").alias("n"))
+    order = Window.partitionBy("grp").orderBy("prefix")
+    group = Window.partitionBy("grp")
+    digits, done = HEX_DIGITS_PER_LEVEL, None
+    named = keys.select(F.col("grp"), F.col("key").alias("whole"))
+    need = None  # of the first round: from the quota
+    while True:
+        prefix = F.substring("whole", 1, digits)
+        counted = named.groupBy("grp", prefix.alias("prefix")).agg(
+            F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
+        level = counted.withColumn("before", F.sum("n").over(order) - F.col("n"))
+        if need is None:
+            level = level.withColumn("rows", F.sum("n").over(group))
+            if isinstance(quota, DataFrame):
+                asked = quota.select(F.col("grp").alias("g"), "quota")
+                level = level.join(asked, F.col("grp").eqNullSafe(F.col("g"))).drop("g")
+            else:
+                level = level.withColumn("quota", quota)
+            level = level.withColumn("quota", F.greatest("quota", F.lit(0)).cast("long")).withColumn("need", F.col("quota"))
+        else:
+            level = level.withColumnRenamed("grp", "g").join(need, F.col("g").eqNullSafe(F.col("grp"))).drop("g")
+        single = F.when(F.col("low") == F.col("high"), F.col("low"))
+        hit = (F.col("before") < F.col("need")) & (F.col("before") + F.col("n") >= F.col("need"))
+        none = (F.col("need") == 0) & (F.col("before") == 0)
+        level = _stored(level.where(hit | none).select(
+            "grp", "rows", "quota", F.when(F.col("need") > 0, F.coalesce(single, F.rpad("prefix", KEY_DIGITS, "f"))).otherwise("").alias("key"),
+            F.when(F.col("need") > 0, F.col("need") - F.col("before")).otherwise(0).alias("take"),
+            F.when(F.col("need") > 0, F.col("n")).otherwise(0).alias("ties"),
+            ((F.col("need") > F.col("before")) & (F.col("need") < F.col("before") + F.col("n")) & single.isNull()).alias("open")), "cuts")
+        closed = level.where(~F.col("open"))
+        done = closed if done is None else done.unionByName(closed)
+        open_groups = level.where("open")
+        largest = None if digits >= KEY_DIGITS else open_groups.agg(F.max("ties")).first()[0]
+        if largest is None:
+            return done.select(*CUT_COLUMNS)
+        state = open_groups.select(F.col("grp").alias("og"), F.substring("key", 1, digits).alias("under"))
+        named = named.join(state, F.col("grp").eqNullSafe(F.col("og")) & (prefix == F.col("under"))).select("grp", "whole")
+        need = open_groups.select("grp", "rows", "quota", F.col("take").alias("need"))
+        if largest <= LAST_ROUND_ROWS:
+            digits = KEY_DIGITS
+        else:
+            named, digits = _stored(named, "narrowed"), digits + HEX_DIGITS_PER_LEVEL
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.columns import flag, to_number
-from riskframe.functions.ranking import exact_quantiles, sum_or_zero
+from riskframe.functions.ranking import double_key, exact_quantiles, sum_or_zero
 from riskframe.operators.cleaning import numeric_columns
 from riskframe.operators.duplicates import duplicate_row_count
 from riskframe.session import local_frame
@@ -68,7 +68,9 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         ]
     row = numbers.agg(*moments).first()
     counts = {name: row[f"n{i}"] for i, name in enumerate(names)}
-    quartiles = exact_quantiles(numbers, names, (0.25, 0.5, 0.75), counts=counts)
+    ranges = {c: (counts[c], double_key(row[f"min{i}"]), double_key(row[f"max{i}"])) if counts[c] else (0, None, None)
+              for i, c in enumerate(names)}
+    quartiles = exact_quantiles(numbers, names, (0.25, 0.5, 0.75), ranges=ranges)
     rows = []
     for i, name in enumerate(names):
         p25, p50, p75 = quartiles[name] or (None, None, None)
