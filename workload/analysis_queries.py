@@ -58,6 +58,15 @@ def a6_lineitem(spark, sf_dir):
     return comparable(numeric_summary(table(spark, sf_dir, "lineitem"), LINE_NUMBERS), 4)
 
 
+LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+@register("a6_numeric_summary_lineitem_all", _profile_sql("lineitem", LINE_KEYS + LINE_NUMBERS))
+def a6_lineitem_all(spark, sf_dir):
+    """Every number of the table, as the summary finds them itself."""
+    return comparable(numeric_summary(table(spark, sf_dir, "lineitem")), 4)
+
+
 @register("a6_numeric_summary_events", _profile_sql("events", ["value"]))
 def a6_events(spark, sf_dir):
     return comparable(numeric_summary(table(spark, sf_dir, "events"), ["value"]), 4)
@@ -195,6 +204,19 @@ def w1_orders(spark, sf_dir):
     return flagged.select("o_orderkey", "o_orderpriority", F.col(IS_TEST).alias("is_test"))
 
 
+@register(
+    "w1_stratified_split_order_classes",
+    "SELECT l_orderkey, l_linenumber, rn <= CASE WHEN n <= 1 THEN 0 ELSE least(n - 1, greatest(1, floor(n * 0.4))) END AS is_test FROM ("
+    "SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey) AS n, row_number() OVER (PARTITION BY l_orderkey "
+    "ORDER BY md5(concat('42:', l_orderkey, '|', l_linenumber))) AS rn FROM lineitem)",
+)
+def w1_order_classes(spark, sf_dir):
+    """Every order is a class: the number of classes grows with the table."""
+    lines = table(spark, sf_dir, "lineitem")
+    flagged, _ = flag_stratified(lines, "l_orderkey", 0.4, 42, ["l_orderkey", "l_linenumber"])
+    return flagged.select("l_orderkey", "l_linenumber", F.col(IS_TEST).alias("is_test"))
+
+
 @register("w2_random_split", f"SELECT o_orderkey, substr({_hash(42, 'o_orderkey')}, 1, 8) < '33333333' AS is_test FROM orders")
 def w2(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")

@@ -364,7 +364,17 @@ def stream_drift(spark, sf_dir):
     return read_history(spark, out)
 
 
-@register("w5_temporal_three_way")
+@register(
+    "w5_temporal_three_way",
+    "WITH o AS (SELECT o_orderkey, o_orderdate, count(*) OVER () AS n, row_number() OVER (ORDER BY o_orderdate, "
+    "md5(concat('42:', CAST(o_orderkey AS VARCHAR)))) AS rn FROM orders), "
+    "t AS (SELECT *, rn <= CAST(floor(n * (1 - CAST(0.2 AS DOUBLE))) AS BIGINT) AS rest FROM o), "
+    "r AS (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY o_orderdate, md5(concat('43:', CAST(o_orderkey AS VARCHAR)))) AS place "
+    "FROM t WHERE rest), "
+    "s AS (SELECT o_orderdate, 'test' AS split FROM t WHERE NOT rest UNION ALL SELECT o_orderdate, "
+    "CASE WHEN place <= CAST(floor(m * (1 - CAST(0.2 AS DOUBLE))) AS BIGINT) THEN 'train' ELSE 'valid' END FROM r) "
+    'SELECT split, count(*) AS "rows", min(o_orderdate) AS first, max(o_orderdate) AS last FROM s GROUP BY split',
+)
 def w5_temporal(spark, sf_dir):
     """Latest rows as test, the latest of the rest as validation."""
     assigned = assign_splits(
