@@ -7,6 +7,7 @@ from functools import lru_cache
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
+_STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACES = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
@@ -54,11 +55,13 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     starts, stops = edges[0::2], edges[1::2]
     if not len(starts):
         return [np.empty(0, np.uint64) for _ in texts]
-    size = 1 << max(16, int(len(data)).bit_length())
-    up, down = powers(size)
-    sums = np.cumsum(values[data] * up[:len(data)], dtype=np.uint64)
+    # every byte at every place of a word has a value of its own: no structure of a word can cancel out, as it could in a
+    # polynomial modulo a power of two
+    place = np.arange(len(data))
+    place[starts[0]:] -= np.repeat(starts, np.diff(np.append(starts, len(data))))
+    sums = np.cumsum(mixed(values[data] + place.astype(np.uint64) * _STEP), dtype=np.uint64)
     before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
-    words = mixed((sums[stops - 1] - before) * down[starts] + (stops - starts).astype(np.uint64))
+    words = mixed(sums[stops - 1] - before + (stops - starts).astype(np.uint64))
     ends = np.cumsum([len(r) + 1 for r in raw])
     last = np.searchsorted(starts, ends)
     first = np.concatenate([[0], last[:-1]])
