@@ -2,14 +2,15 @@
 
 A text is cut into units no piece can cross: no piece of the vocabulary has a space after another character,
 punctuation or digits after a letter, or a line feed among others. Each unit is merged by an agenda of candidate
-pairs, best piece first, leftmost first; a candidate that comes up is skipped for good with the chance of dropout.
-Chances are drawn from a generator keyed by the seed and the document's id, in the order of its units: every place of
-every document has draws of its own, and reruns agree. What a unit becomes depends only on which of its candidates, by
-the order in which they come up, are skipped, so a Python worker merges every (unit, skipped candidates) once and then
-looks it up.
+pairs, best piece first, leftmost first. A candidate that comes up is skipped for good where its keyed hash, of the
+seed, the document's id, the unit's place and the candidate's number in order of coming up, is below the chance of
+dropout: every candidate of every place has a draw of its own, and reruns agree.
+
+Agendas of many units go ahead together, one candidate a step, as numpy arrays. A unit of which no candidate is
+skipped has the segmentation it has without dropout, which a Python worker keeps in a table of bounded bytes.
 
 Decoding joins the pieces and drops the space in front that encoding adds. Characters without a piece, and a
-literal U+2581, become byte pieces, so every text decodes to itself.
+literal U+2581, become byte pieces, so every text decodes to itself. Texts of any length are cut block by block.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from array import array
-from typing import Iterator
+from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,10 @@ from .common import free_memory, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
-#: Segmentations a worker keeps, plain and dropped ones each, before it starts anew; bounds its memory.
-KEEP = 250_000
-#: Patterns of skipped candidates that are kept: those of the first twelve; others are merged each time.
-VARIANTS = 1 << 12
-#: Bits of the chance of dropout, and units whose draws are made at a time.
-CHANCE_BITS, DRAWN = 16, 1 << 14
-SLICE_BYTES = 2 << 20
+#: Bytes of segmentations without dropout that a worker keeps before it starts anew, and what one takes besides its ids.
+KEEP_BYTES, ENTRY = 32 << 20, 180
+#: Units that go through the agenda together, characters of a text that are cut at a time, and bytes of text a slice.
+BLOCK, WINDOW, SLICE_BYTES = 1 << 15, 1 << 17, 1 << 20
 _MARK, _LETTER = r"(?:[^\w \n]|[\d_¹²³])", r"[^\W\d_¹²³]"
 UNIT = re.compile(rf" *{_MARK}*{_LETTER}+| *{_MARK}+| +|\n")
 #: What a vocabulary must not have inside a piece for ``UNIT`` to hold; else the whole text is one unit.
@@ -43,13 +40,32 @@ CROSSING = re.compile(rf"[^ ] |{_LETTER}{_MARK}|\n.|.\n", re.S)
 SPACE = "▁"
 #: Symbol of a character without a piece, of one merged away, and an agenda place without candidate.
 _OTHER, _GONE, _NONE = 0xFFFF, -1, 1 << 62
-#: Units up to so many characters search a list for the best candidate, longer ones keep a heap. n characters have at
-#: most 3 (n - 1) candidates: n - 1 pairs and two more per merge. Those of a short unit fit in a word of 64 draws.
-SHORT = 22
+#: A candidate as a number: rank of the piece, place in the unit, piece; the least is the best.
+_RANK, _PLACE, _PIECE = 46, 16, 0xFFFF
+#: Units up to so many characters go through the common agenda, longer ones have a heap each.
+SHORT = 32
+#: Increments and multipliers of the keyed hash (splitmix64), and the bits of it that are compared.
+_STEP, _MIX, _BITS = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)), 53
 
 _loaded: dict[tuple, "Pieces"] = {}
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def _keyed(keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """A hash of each number under its key."""
+    return _mixed(keys + (numbers.astype(np.uint64) + np.uint64(1)) * _STEP)
+
+
+def _within(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the lengths."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 class Pieces:
     """The vocabulary of one model file as merge table, with the segmentations found so far."""
 
@@ -66,7 +82,7 @@ class Pieces:
             if p.type == 6:
                 self.byte_ids[int(p.piece[1:-1], 16)] = k
                 self.bytes_of[k] = bytes([int(p.piece[1:-1], 16)])
-        #: left id and right id -> rank of the score and merged id, for every way to put a piece together from two
+        #: left id and right id -> candidate, for every way to put a piece together from two; also as sorted arrays
         ranks = {score: k for k, score in enumerate(sorted({score for _, _, score in normal}, reverse=True))}
         self.merges = {}
         for k, piece, score in normal:
@@ -74,13 +90,21 @@ class Pieces:
             for at in range(1, len(text)):
                 left, right = self.id_of.get(text[:at]), self.id_of.get(text[at:])
                 if left is not None and right is not None:
-                    self.merges[left << 16 | right] = ranks[score] << 16 | k
-        #: one character -> its piece, or ``_OTHER``; a literal space mark has none
-        self.characters = {c: k for c, k in self.id_of.items() if len(c) == 1 and c != SPACE}
+                    self.merges[left << 16 | right] = ranks[score] << _RANK | k
+        pairs = sorted(self.merges)
+        self.pairs = np.array([*pairs, _NONE], np.int64)
+        self.candidates = np.array([*map(self.merges.get, pairs), _NONE], np.int64)
+        #: code point -> its piece, or ``_OTHER``; a literal space mark has none
+        self.characters = np.full(0x110000, _OTHER, np.uint16)
+        for c, k in self.id_of.items():
+            if len(c) == 1 and c != SPACE:
+                self.characters[ord(c)] = k
+        self.of_byte = np.array(self.byte_ids, np.int64)
         self.unit = re.compile("(?s).+") if any(map(CROSSING.search, self.id_of)) else UNIT
-        self.chance = round(dropout * 2**CHANCE_BITS)
+        self.below = np.uint64(round(dropout * 2**_BITS))
         self.seed = seed
-        self.plain, self.skipped = {}, {}
+        #: unit -> how many candidates come up and the piece ids without dropout, packed 16-bit integers
+        self.plain, self.plain_bytes = {}, 0
 
     @staticmethod
     def of(model: bytes, dropout: float, seed: int) -> "Pieces":
@@ -90,48 +114,91 @@ class Pieces:
             _loaded[key] = Pieces(*key)
         return _loaded[key]
 
-    def merge(self, unit: str, skip: int = 0) -> bytes:
-        """The piece ids of one unit as packed 32-bit integers; candidates whose bits are set in ``skip``, by the order
-        in which they come up, are skipped."""
-        return self._merged(unit, skip)[1]
-
-    def _merged(self, unit: str, skip) -> tuple[int, bytes]:
-        """A bit for every candidate that came up, and the packed piece ids; for long units ``skip`` is a byte each."""
-        find = self.characters.get
-        symbols = [find(c, _OTHER) for c in unit]
-        if isinstance(skip, bytes):
-            (symbols, starts), came = self._merge_long(symbols, skip), 0
-        else:
-            symbols, starts, came = self._merge_short(symbols, skip)
-        if _OTHER in symbols:  # these are single characters still
-            symbols = [x for s, a in zip(symbols, starts) for x in ([s] if s != _OTHER else [self.byte_ids[b] for b in unit[a].encode()])]
-        return came, array("i", symbols).tobytes()
-
-    def _merge_short(self, symbols: list[int], skip: int) -> tuple[list[int], list[int], int]:
-        """The agenda as a list with one place per pair of neighbours, searched for its best."""
-        find, bit = self.merges.get, 1
-        starts = list(range(len(symbols)))
-        agenda = [find(a << 16 | b, _NONE) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == _NONE:
-                break
-            at, piece = agenda.index(best), best & 0xFFFF
-            drop = skip & bit
-            bit <<= 1
-            if drop:
-                agenda[at] = _NONE
+    def _skips(self, keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Whether the candidates of these numbers are skipped, in units of these keys."""
+        return (_keyed(keys, numbers) >> np.uint64(64 - _BITS)) < self.below
+
+    def _found(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        pairs = left << 16 | right
+        at = np.searchsorted(self.pairs, pairs)
+        return np.where(self.pairs[at] == pairs, self.candidates[at] | place << _PLACE, _NONE)
+
+    def merged(self, units: Sequence[str], keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece ids of all units, how many each unit has, and how many of its candidates came up; no dropout without
+        ``keys``."""
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        text = "".join(units)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbols = self.characters[points].astype(np.int64)
+        came = np.zeros(len(units), np.int64)
+        short = lengths <= SHORT
+        cells = np.repeat(short, lengths)
+        symbols[cells], came[short] = self._merge_short(symbols[cells], lengths[short], None if keys is None else keys[short])
+        ends = np.cumsum(lengths)
+        for row in np.flatnonzero(~short).tolist():
+            part = slice(int(ends[row] - lengths[row]), int(ends[row]))
+            skip = b"" if keys is None else self._skips(keys[row], np.arange(3 * lengths[row])).tobytes()
+            symbols[part], came[row] = self._merge_long(symbols[part].tolist(), skip)
+        # a cell has no piece, one, or, without a piece of its own, one for every byte
+        other = np.flatnonzero(symbols == _OTHER)
+        pieces = (symbols != _GONE).astype(np.int64)
+        raw = [text[k].encode("utf-8", "surrogatepass") for k in other.tolist()]
+        pieces[other] = list(map(len, raw))
+        ids = np.repeat(symbols, pieces)
+        ids[ids == _OTHER] = self.of_byte[np.frombuffer(b"".join(raw), np.uint8)]
+        return ids, np.add.reduceat(pieces, ends - lengths), came
+
+    def _merge_short(self, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Every unit's agenda has one place per cell, for the pair of it and the next; a step takes the best of each.
+        The cell behind the last one stands for what lies outside a unit. Finished units leave the arrays."""
+        out, came = symbols.copy(), np.zeros(len(lengths), np.int64)
+        n, rows, origin = len(symbols), np.arange(len(lengths)), np.arange(len(symbols))
+        place = _within(lengths)
+        starts = np.cumsum(lengths) - lengths
+        cells = np.append(symbols, _OTHER)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[starts + lengths - 1] = n
+        before[starts] = n
+        after[n] = before[n] = n
+        agenda = self._found(cells[:n], cells[after[:n]], place)
+        agenda = np.append(agenda, _NONE)
+        while len(rows):
+            best = np.minimum.reduceat(agenda[:n], starts)
+            live = best != _NONE
+            if 4 * np.count_nonzero(live) < 3 * len(rows):
+                done = np.repeat(~live, lengths)
+                out[origin[done]] = cells[:n][done]
+                stay = np.append(~done, True)
+                moved = np.cumsum(stay) - 1
+                after, before = moved[after[stay]], moved[before[stay]]
+                cells, agenda, origin, place = cells[stay], agenda[stay], origin[stay[:n]], place[stay[:n]]
+                rows, lengths, best, n = rows[live], lengths[live], best[live], len(origin)
+                starts = np.cumsum(lengths) - lengths
+                at, of = starts, rows
+            else:
+                at, of, best = starts[live], rows[live], best[live]
+            if not len(best):
                 continue
-            symbols[at] = piece
-            del symbols[at + 1], starts[at + 1], agenda[at]
-            if at:
-                agenda[at - 1] = find(symbols[at - 1] << 16 | piece, _NONE)
-            if at < len(agenda):
-                agenda[at] = find(piece << 16 | symbols[at + 1], _NONE)
-        return symbols, starts, bit - 1
-
-    def _merge_long(self, symbols: list[int], skip: bytes) -> tuple[list[int], list[int]]:
-        """The same with the agenda as a heap, for units of any length."""
+            at = at + (best >> _PLACE & (1 << _RANK - _PLACE) - 1)
+            number = came[of]
+            came[of] = number + 1
+            if keys is not None:
+                skip = self._skips(keys[of], number)
+                agenda[at[skip]] = _NONE
+                at, best = at[~skip], best[~skip]
+            piece = best & _PIECE
+            right, left = after[at], before[at]
+            far = after[right]
+            cells[at], cells[right], agenda[right] = piece, _GONE, _NONE
+            after[at], before[far] = far, at
+            agenda[at] = self._found(piece, cells[far], place[at])
+            agenda[left] = self._found(cells[left], piece, place[at] - (at - left))
+            agenda[n] = _NONE
+        return out, came
+
+    def _merge_long(self, symbols: list[int], skip: bytes) -> tuple[list[int], int]:
+        """The same with the agenda as a heap, for units of any length. n characters have at most 3 (n - 1) candidates:
+        n - 1 pairs and two more per merge."""
         n, find, came = len(symbols), self.merges.get, 0
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = []
@@ -147,73 +214,106 @@ class Pieces:
             best, left, right, a, b = heapq.heappop(agenda)
             if symbols[left] != a or symbols[right] != b or after[left] != right:
                 continue
-            piece = best & 0xFFFF
             came += 1
             if skip and skip[came - 1]:
                 continue
-            symbols[left], symbols[right] = piece, _GONE
+            symbols[left], symbols[right] = best & _PIECE, _GONE
             far = after[left] = after[right]
             if far < n:
                 before[far] = left
                 propose(left, far)
             if before[left] >= 0:
                 propose(before[left], left)
-        starts = [at for at in range(n) if symbols[at] != _GONE]
-        return [symbols[at] for at in starts], starts
-
-    def _draws(self, source: np.random.BitGenerator, n: int) -> np.ndarray:
-        """``n`` words of 64 draws; a bit is set with the chance of dropout, which its binary digits build from random bits."""
-        if self.chance >> CHANCE_BITS:
-            return np.full(n, 2**64 - 1, np.uint64)
-        random = source.random_raw(n * CHANCE_BITS).reshape(n, CHANCE_BITS)
-        words = np.zeros(n, np.uint64)
-        for digit in range(CHANCE_BITS):
-            (np.bitwise_or if self.chance >> digit & 1 else np.bitwise_and)(words, random[:, digit], out=words)
-        return words
-
-    def _skipping(self, unit: str, skip: int, came: int) -> bytes:
-        """The piece ids of a short unit of which ``came`` come up, and some are skipped, without dropout."""
-        while True:
-            pattern = skip & came
-            found = self.skipped.get((unit, pattern))
-            if found is None:
-                found = self._merged(unit, skip)
-                if skip & found[0] < VARIANTS:
-                    self.skipped[unit, skip & found[0]] = found
-                return found[1]
-            came, ids = found
-            if skip & came == pattern & came:  # else skipping has brought up others, which are skipped, too
-                return ids
+        return symbols, came
+
+    def _learn(self, units: Sequence[str]) -> None:
+        """Keep the segmentations of these units without dropout."""
+        if self.plain_bytes > KEEP_BYTES:
+            self.plain.clear()
+            self.plain_bytes = 0
+        ids, sizes, came = self.merged(units, None)
+        ends = 2 * np.cumsum(sizes + 1)
+        packed = np.insert(ids, np.cumsum(sizes) - sizes, came).astype(np.uint16).tobytes()
+        self.plain.update(zip(units, [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
+        self.plain_bytes += len(packed) + ENTRY * len(units)
+
+    def _encode_units(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of units with these keys, and how many each unit has."""
+        sizes, of_row, ids = np.zeros(len(units), np.int64), np.arange(len(units)), []
+        long = [k for k, unit in enumerate(units) if len(unit) > SHORT]
+        missing = list({u for u in units if u not in self.plain and len(u) <= SHORT})
+        if missing:
+            # before the table may start anew, so that it has all units of the block
+            if self.plain_bytes > KEEP_BYTES:
+                missing = list({u for u in units if len(u) <= SHORT})
+            self._learn(missing)
+        found = [self.plain.get(u, b"\0\0") for u in units]
+        packed = np.frombuffer(b"".join(found), np.uint16)
+        widths = np.fromiter(map(len, found), np.int64, len(units)) // 2
+        heads = np.cumsum(widths) - widths
+        came = packed[heads].astype(np.int64)
+        again = np.zeros(len(units), bool)
+        again[long] = True
+        if self.below:
+            again[np.repeat(of_row, came)[self._skips(np.repeat(keys, came), _within(came))]] = True
+        kept = np.repeat(~again, widths)
+        kept[heads] = False
+        sizes[:] = widths - 1
+        redone = np.flatnonzero(again)
+        if not len(redone):
+            return packed[kept].astype(np.int32), sizes
+        new, sizes[redone], _ = self.merged([units[k] for k in redone.tolist()], keys[redone] if self.below else None)
+        ids = np.empty(sizes.sum(), np.int32)
+        of_new = np.repeat(again, sizes)
+        ids[of_new], ids[~of_new] = new, packed[kept]
+        return ids, sizes
+
+    def _cut(self, text: str) -> Iterator[list[str]]:
+        """The units of a text, some at a time. Only the last one before a cut may go on behind it."""
+        at, window = 0, WINDOW
+        while at < len(text):
+            units = self.unit.findall(text, at, at + window)
+            if at + window < len(text):
+                last = units.pop()
+                if not units:
+                    window *= 2
+                    continue
+                at, window = at + window - len(last), WINDOW
+            else:
+                at = len(text)
+            yield units
+
+    def encode_all(self, texts: Sequence[str | None], keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has; the keys are those of the documents' draws."""
+        sizes = np.zeros(len(texts), np.int64)
+        whole, units, key_parts, row_parts = [], [], [], []
+
+        def flush() -> None:
+            if units:
+                ids, counts = self._encode_units(units, np.concatenate(key_parts))
+                sizes[:] += np.bincount(np.concatenate(row_parts), counts, len(texts)).astype(np.int64)
+                whole.append(ids)
+                for part in (units, key_parts, row_parts):
+                    part.clear()
+
+        for row, (text, key) in enumerate(zip(texts, keys)):
+            if not text:
+                continue
+            digest = hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8, key=str(self.seed).encode()).digest()
+            document, place = np.frombuffer(digest, np.uint64), 0
+            for some in self._cut(" " + text):
+                units.extend(some)
+                key_parts.append(_keyed(document, np.arange(place, place + len(some))))
+                row_parts.append(np.full(len(some), row))
+                place += len(some)
+                if len(units) >= BLOCK:
+                    flush()
+        flush()
+        return np.concatenate(whole) if whole else np.empty(0, np.int32), sizes
 
     def encode(self, text: str, key: str) -> bytes:
-        """The ids of a whole text as packed 32-bit integers; ``key`` is that of the document's draws."""
-        if not text:
-            return b""
-        units, plain, out = self.unit.findall(" " + text), self.plain, []
-        hashed = int.from_bytes(hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        source = np.random.SFC64([self.seed % 2**64, hashed]) if self.chance else None
-        for start in range(0, len(units), DRAWN):
-            some = units[start:start + DRAWN]
-            for known in (plain, self.skipped):
-                if len(known) > KEEP:
-                    known.clear()
-            draws = self._draws(source, len(some)).tolist() if source else [0] * len(some)
-            for unit, skip in zip(some, draws):
-                found = plain.get(unit)
-                if found is not None:
-                    came, ids = found
-                    if skip & came:
-                        ids = self._skipping(unit, skip, came)
-                elif len(unit) <= SHORT:
-                    came, ids = self._merged(unit, skip)
-                    if not skip & came:
-                        plain[unit] = came, ids
-                else:
-                    # draws of their own, keyed by this unit's: the generator of the document stays in step
-                    words = self._draws(np.random.SFC64([hashed, skip, len(out)]), -(-3 * len(unit) // 64)) if source else np.empty(0, np.uint64)
-                    ids = self._merged(unit, np.unpackbits(words.view(np.uint8), bitorder="little").tobytes())[1]
-                out.append(ids)
-        return b"".join(out)
+        """The ids of one text as packed 32-bit integers."""
+        return self.encode_all([text], [key])[0].tobytes()
 
     def decode(self, ids) -> str:
         whole = b"".join(map(self.bytes_of.__getitem__, ids))
@@ -249,11 +349,10 @@ def encode_pieces(
             keys = [str(k) for k in part.column("id").to_pylist()]
             if copy_col is not None:
                 keys = [f"{k} {n}" for k, n in zip(keys, part.column("copy").to_pylist())]
-            packed = [None if t is None else pieces.encode(t, k) for k, t in zip(keys, part.column("text").to_pylist())]
-            values = pa.array(np.frombuffer(b"".join(x or b"" for x in packed), np.int32))
-            ends = np.cumsum([len(x or b"") // 4 for x in packed])
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in packed]))
+            texts = part.column("text")
+            ids, sizes = pieces.encode_all(texts.to_pylist(), keys)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()), mask=texts.is_null())
             yield pa.RecordBatch.from_arrays([*part.columns[:width], lists], [*part.schema.names[:width], "pieces"])
 
     return rows.mapInArrow(encode, f"{kinds}, pieces array<int>").toDF(id_col, text_col, *keep, "pieces")
