@@ -17,17 +17,30 @@ from riskframe.llm.repeats import decoded, remove_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a recognisable language; a missing ``lang`` becomes the predicted one."""
+    """Drop documents without a recognisable language; a missing ``lang`` becomes the predicted one.
+
+    Null texts and texts without a letter go. Where no document has a ``lang`` to learn from, all others stay as they are.
+    """
     samples = learning_sample(docs.select("lang", "text"))
+    if not samples:
+        return docs.where(F.rlike("text", F.lit(r"\p{L}")))
     found = with_language(docs, samples).where(F.col("lang_pred") != UNKNOWN)
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles of Jaccard similarity 0.8 or more, keep the smallest id."""
-    components = jaccard_components(docs, words=5, percent=80)
-    dropped = written(components.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Of documents linked by five-word shingles of Jaccard similarity 0.8 or more, one row stays: that of the smallest
+    id, rows without an id last. Rows are told apart by number, so a repeated or missing id neither keeps copies nor
+    drops another text. Texts without words stay.
+    """
+    row = max(docs.columns, key=len) + "_"
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    components = jaccard_components(numbered.select(row, "text"), row, words=5, percent=80)
+    by_id = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", row)
+    linked = written(components.select(row, "component_id").join(numbered.select(row, "doc_id"), row), "linked")
+    first = linked.groupBy("component_id").agg(F.min(by_id)[row].alias("stays"))
+    dropped = written(linked.join(first, "component_id").where(F.col(row) != F.col("stays")).select(row), "dropped")
+    return numbered.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
