@@ -54,9 +54,8 @@ class GlobalOrder:
     width: np.ndarray
 
     @staticmethod
-    def of(counts: np.ndarray) -> "GlobalOrder":
-        classes = np.floor(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
-        weight = np.bincount(classes, weights=counts, minlength=256)
+    def of(classes: np.ndarray, weight: np.ndarray) -> "GlobalOrder":
+        """From the class of every cell and the shingles of every class."""
         weight = weight / max(weight.sum(), 1)
         return GlobalOrder(classes, np.cumsum(weight) - weight, weight)
 
@@ -65,6 +64,14 @@ class GlobalOrder:
         return self.start[c] + self.width[c] * (shingles.astype(np.float64) * 2.0**-64)
 
 
+def frequency_classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Four classes per doubling of a cell's count, and how many shingles each of 256 classes has."""
+    classes = np.floor(4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+    weight = np.zeros(256, np.int64)
+    np.add.at(weight, classes, counts)
+    return classes, weight
+
+
 def prefix_length(n: int, percent: int) -> int:
     """So many of the rarest shingles that partners share ``MEETINGS`` of them."""
     return min(n, n - -(-percent * n // 100) + MEETINGS)
@@ -96,8 +103,9 @@ def _batch_of(e: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(e[c])) for c in _ENTRY.names], list(_ENTRY.names))
 
 
-def shingled(df: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """From (id, text): a table (id, n, node), node null without words, and the counts per cell of all shingles."""
+def shingled(df: DataFrame, words: int) -> tuple[DataFrame, GlobalOrder]:
+    """From (id, text): a table (id, n, node), node null without words, and the order of all shingles. The driver gets
+    one byte a cell."""
     kind = df.schema["id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,14 +133,18 @@ def shingled(df: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             part = batch.column("part")[:1]
             for blob in batch.column("counts"):
                 total += np.frombuffer(zlib.decompress(blob.as_py()), np.int64)
-        yield pa.RecordBatch.from_arrays([part, pa.array([total.tobytes()], pa.binary())], ["part", "counts"])
+        classes, weight = frequency_classes(total)
+        yield pa.RecordBatch.from_arrays(
+            [part, pa.array([classes.tobytes()], pa.binary()), pa.array([weight.tolist()], pa.list_(pa.int64()))],
+            ["part", "classes", "weight"])
 
     out = written(df.mapInArrow(read, f"id {kind}, n int, node long, part int, counts binary"), "shingled")
-    sums = out.where("part IS NOT NULL").select("part", "counts").groupBy("part").applyInArrow(add, "part int, counts binary")
-    counts = np.zeros((PARTS, CELLS // PARTS), np.int64)
-    for row in sums.collect():
-        counts[row["part"]] = np.frombuffer(row["counts"], np.int64)
-    return out.where("part IS NULL").select("id", "n", "node"), counts.ravel()
+    sums = out.where("part IS NOT NULL").select("part", "counts").groupBy("part")
+    classes, weight = np.zeros((PARTS, CELLS // PARTS), np.uint8), np.zeros(256, np.int64)
+    for row in sums.applyInArrow(add, "part int, classes binary, weight array<long>").collect():
+        classes[row["part"]] = np.frombuffer(row["classes"], np.uint8)
+        weight += row["weight"]
+    return out.where("part IS NULL").select("id", "n", "node"), GlobalOrder.of(classes.ravel(), weight)
 
 
 def _meetings(df: DataFrame, order, words: int, percent: int) -> DataFrame:
@@ -302,8 +314,8 @@ def jaccard_components(
     shingle. Equal rows have equal sets and so link. A null id never names a component of rows with ids.
     """
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sizes, counts = shingled(docs, words)
-    order = df.sparkSession.sparkContext.broadcast(GlobalOrder.of(counts))
+    sizes, of_all = shingled(docs, words)
+    order = df.sparkSession.sparkContext.broadcast(of_all)
     reps = written(sizes.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id")), "nodes")
     shared = written(_meetings(docs, order, words, percent).distinct(), "shared")
     seen, component = None, None

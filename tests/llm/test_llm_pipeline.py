@@ -51,3 +51,17 @@ def test_run_is_all_stages(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert got.columns == ["doc_id", "lang", "source", "n_chars", "pieces"] and got.count() > 0
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
+
+
+def test_rows_with_missing_and_repeated_ids(spark):
+    kind = "doc_id long, source string, lang string, text string, n_chars long, component_id long"
+    copied, other = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen"
+    rows = [(1, copied), (1, copied), (None, copied), (None, copied), (2, copied), (2, other), (None, other + " x" * 40), (3, ""), (3, None)]
+    docs = spark.createDataFrame([(k, "s", None, t, len(t or ""), 5) for k, t in rows], kind)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, copied), (2, other), (None, other + " x" * 40), (3, ""), (3, None)], key=str)
+    # nothing to learn from: clean documents stay
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept.columns == docs.columns and kept.count() == 7
+    for stage in (corpus_pipeline.language, corpus_pipeline.near_duplicates):
+        assert stage(spark, docs.limit(0), "").count() == 0
