@@ -15,6 +15,8 @@ from riskframe.operators.cleaning import auto_detect_column_types
 
 # --- fixed values ----------------------------------------------------------------------
 UNKNOWN_CODE = -1
+#: Code of a missing value where it is told apart from unknown ones.
+MISSING_CODE = -2
 CONSTANT_CATEGORY = "missing"
 CONSTANT_NUMBER = 0.0
 
@@ -77,8 +79,9 @@ def vocabulary(df: DataFrame, columns: Sequence[str], *, counts: DataFrame | Non
     )
 
 
-def encode_with_vocabulary(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """Left lookup of every categorical column; unknown and missing become -1.
+def encode_with_vocabulary(df: DataFrame, codes: DataFrame, columns: Sequence[str], suffix: str = "_code", missing_code: int = UNKNOWN_CODE) -> DataFrame:
+    """Left lookup of every categorical column; unknown values become -1, missing ones ``missing_code`` (-1 as well, or
+    ``MISSING_CODE`` to tell them apart).
 
     A vocabulary of counted, bounded size is broadcast, so the rows stay where they are; a larger
     one is joined by shuffle (adaptive execution splits hot categories).
@@ -95,7 +98,8 @@ def encode_with_vocabulary(df: DataFrame, codes: DataFrame, columns: Sequence[st
         lookup = F.broadcast(lookup) if small else lookup
         result = (
             result.join(lookup, F.col(f"`{name}`").cast("string") == F.col(f"__value{i}"), "left")
-            .withColumn(f"{name}{suffix}", F.coalesce(F.col(f"__code{i}"), F.lit(UNKNOWN_CODE)).cast("long"))
+            .withColumn(f"{name}{suffix}", F.when(F.col(f"`{name}`").isNull(), missing_code).otherwise(
+                F.coalesce(F.col(f"__code{i}"), F.lit(UNKNOWN_CODE))).cast("long"))
             .drop(f"__value{i}", f"__code{i}")
         )
     return result

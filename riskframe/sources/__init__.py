@@ -11,6 +11,7 @@ from riskframe.sources.tables import (
     to_pandas,
     to_spark,
     upsert,
+    write_batch,
     write_merge,
     write_table,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "to_pandas",
     "to_spark",
     "upsert",
+    "write_batch",
     "write_merge",
     "write_table",
 ]

@@ -94,6 +94,11 @@ def append_history(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """One micro-batch of a history, below ``batch_id=N``: a batch that is replayed replaces what it wrote before."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """All batches of a history location, absent columns as NULL."""
     return spark.read.option("mergeSchema", True).parquet(path)

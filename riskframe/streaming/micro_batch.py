@@ -9,14 +9,13 @@ from __future__ import annotations
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from riskframe.operators.cleaning import preprocess_dataset
 from riskframe.operators.contract import DataQualityValidator
 from riskframe.operators.drift import DataDriftMonitor
 from riskframe.operators.features import FeatureEngineeringPipeline
-from riskframe.sources.tables import append_history
+from riskframe.sources.tables import write_batch
 
 
 def stream_features(
@@ -40,11 +39,11 @@ def _per_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], chec
 def contract_per_batch(
     stream: DataFrame, validator: DataQualityValidator, history_path: str, checkpoint: str
 ) -> DataStreamWriter:
-    """Append the contract checks of every micro-batch to a history location."""
+    """Write the contract checks of every micro-batch below ``batch_id=N`` of a history location; replays replace."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         checks = validator.validate(batch).to_dataframe(batch.sparkSession)
-        append_history(checks.withColumn("batch_id", F.lit(batch_id)).coalesce(1), history_path)
+        write_batch(checks.coalesce(1), history_path, batch_id)
 
     return _per_batch(stream, handle, checkpoint)
 
@@ -52,10 +51,11 @@ def contract_per_batch(
 def drift_per_batch(
     stream: DataFrame, reference: DataFrame, monitor: DataDriftMonitor, history_path: str, checkpoint: str
 ) -> DataStreamWriter:
-    """Append the drift of every micro-batch against a fixed reference to a history location."""
+    """Write the drift of every micro-batch against a fixed reference below ``batch_id=N`` of a history location; replays
+    replace."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         metrics = monitor.compare(reference, batch).metrics
-        append_history(metrics.withColumn("batch_id", F.lit(batch_id)).coalesce(1), history_path)
+        write_batch(metrics.coalesce(1), history_path, batch_id)
 
     return _per_batch(stream, handle, checkpoint)

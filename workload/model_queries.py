@@ -18,7 +18,7 @@ from riskframe import (
     train_model,
 )
 from riskframe.operators.attribution import linear_contributions
-from riskframe.operators.encoding import encode_with_vocabulary, impute, vocabulary
+from riskframe.operators.encoding import MISSING_CODE, encode_with_vocabulary, impute, vocabulary
 from riskframe.operators.metrics import binary_metrics
 from riskframe.operators.split import assign_splits
 from riskframe.plans import jobs
@@ -90,6 +90,22 @@ def m3(spark, sf_dir):
     return comparable(encode_with_vocabulary(df, codes, CATEGORICAL).drop(*CATEGORICAL))
 
 
+@register(
+    "m3_ordinal_codes_missing",
+    with_patients(
+        "SELECT patient_id, CASE WHEN v IS NULL THEN -2 ELSE coalesce(g.code, -1) END AS smoking_status_code FROM "
+        "(SELECT patient_id, CASE WHEN patient_id % 7 <> 0 THEN smoking_status END AS v FROM patients) p "
+        f"LEFT JOIN {_CODES.format(c='smoking_status')} g USING (v)"
+    ),
+)
+def m3_missing(spark, sf_dir):
+    """J4: missing values have a code of their own, apart from unknown ones."""
+    df = patients(spark, sf_dir).select("patient_id", "smoking_status")
+    codes = vocabulary(df.filter(F.col("patient_id") % 20 != 0), ["smoking_status"])
+    gaps = df.withColumn("smoking_status", F.when(F.col("patient_id") % 7 != 0, F.col("smoking_status")))
+    return comparable(encode_with_vocabulary(gaps, codes, ["smoking_status"], missing_code=MISSING_CODE).drop("smoking_status"))
+
+
 @register(
     "m5_ordinal_vector",
     with_patients(
