@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from typing import Iterator
+from typing import Callable, Iterator, TypeVar
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+T = TypeVar("T")
 #: Words of every operator: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -67,6 +68,19 @@ def free_memory() -> None:
         trim(0)
 
 
+_resident: dict = {}
+
+
+def resident(key, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept for later tasks of this Python worker. A worker keeps one such thing at a time: it
+    lives through many stages, and the next operator needs the room."""
+    if key not in _resident:
+        _resident.clear()
+        free_memory()
+        _resident[key] = make()
+    return _resident[key]
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each slice holds about ``limit`` bytes of ``column`` or a single row."""
     for batch in batches:

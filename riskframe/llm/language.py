@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import free_memory, resident, slices
 
 UNKNOWN = "und"
 #: The learning sample: per language at most ``SAMPLE_TEXTS`` distinct pieces of ``SAMPLE_CHARS`` characters, each from
@@ -27,10 +27,9 @@ SAMPLE_TEXTS, SAMPLE_CHARS = 128, 160
 #: A text is parsed in blocks of so many symbols (a phrase ends at a block's end), so one long text is as many lanes.
 BLOCK = 1024
 #: Bytes of text that a task holds as lanes at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _NEW = np.int32(-(2**31))
 
-_automata: dict[tuple, "Automata"] = {}
 
 
 def symbols(data: np.ndarray) -> np.ndarray:
@@ -100,10 +99,7 @@ class Automata:
     @staticmethod
     def of(samples: tuple[tuple[str, bytes], ...]) -> "Automata":
         """Built once per Python worker."""
-        if samples not in _automata:
-            _automata.clear()
-            _automata[samples] = Automata(samples)
-        return _automata[samples]
+        return resident(("automata", samples), lambda: Automata(samples))
 
     def bits_per_symbol(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """languages x texts: normalised phrases of the texts that end at ``ends`` in the bytes ``data``."""
@@ -173,6 +169,7 @@ def with_language(df: DataFrame, samples: tuple[tuple[str, bytes], ...], text_co
     width = len(df.columns)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         model = Automata.of(shared.value)
         for part in slices(batches, "text", SLICE_BYTES):
             texts = part.column("text")

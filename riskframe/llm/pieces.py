@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_memory, slices
+from .common import free_memory, resident, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
@@ -47,8 +47,6 @@ SHORT = 32
 #: Increments and multipliers of the keyed hash (splitmix64), and the bits of it that are compared.
 _STEP, _MIX, _BITS = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)), 53
 
-_loaded: dict[tuple, "Pieces"] = {}
-
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
@@ -108,11 +106,7 @@ class Pieces:
 
     @staticmethod
     def of(model: bytes, dropout: float, seed: int) -> "Pieces":
-        key = (model, dropout, seed)
-        if key not in _loaded:
-            _loaded.clear()
-            _loaded[key] = Pieces(*key)
-        return _loaded[key]
+        return resident(("pieces", model, dropout, seed), lambda: Pieces(model, dropout, seed))
 
     def _skips(self, keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Whether the candidates of these numbers are skipped, in units of these keys."""
