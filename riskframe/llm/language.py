@@ -31,7 +31,6 @@ SLICE_BYTES = 1 << 20
 _NEW = np.int32(-(2**31))
 
 
-
 def symbols(data: np.ndarray) -> np.ndarray:
     """Raw byte classes: 0 for ASCII other than letters, 1-26 for letters in either case, other bytes as they are."""
     table = np.zeros(256, np.uint8)
@@ -161,34 +160,37 @@ def with_language(df: DataFrame, samples: tuple[tuple[str, bytes], ...], text_co
     df = df.drop("lang_pred", "score")
     if not samples:
         return df.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    text = F.col(f"`{text_col}`")
-    lettered = F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
     # positions instead of names: whatever the columns are called
-    inner = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)], text.alias("text"), lettered.alias("lettered"))
+    names = [f"c{k}" for k in range(len(df.columns))]
+    text = F.col(names[df.columns.index(text_col)])
+    lettered = F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
     shared = df.sparkSession.sparkContext.broadcast(samples)
-    width = len(df.columns)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         free_memory()
         model = Automata.of(shared.value)
-        for part in slices(batches, "text", SLICE_BYTES):
-            texts = part.column("text")
-            ends = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy().cumsum(dtype=np.int64)
-            data = np.frombuffer("".join(x for x in texts.to_pylist() if x).encode(), np.uint8)
-            bits = model.bits_per_symbol(data, ends)
-            best = bits.argmin(axis=0)
-            low = bits.min(axis=0)
-            second = np.partition(bits, 1, axis=0)[1] if len(bits) > 1 else np.full(len(low), np.inf)
-            score = 1 - np.divide(low, second, out=np.ones_like(low), where=second > 0)
-            names = pa.array(model.languages).take(pa.array(best))
-            known = part.column("lettered")
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:width], pa.compute.if_else(known, names, UNKNOWN), pa.compute.if_else(known, pa.array(score), 0.0)],
-                [*part.schema.names[:width], "lang_pred", "score"])
-
-    kinds = ", ".join(f"c{k} {kind}" for k, (_, kind) in enumerate(df.dtypes))
-    out = inner.mapInArrow(predict, f"{kinds}, lang_pred string, score double")
-    return out.toDF(*df.columns, "lang_pred", "score")
+        known = pa.array(model.languages)
+        for batch in batches:
+            languages, scores = [], []
+            for part in slices([pa.RecordBatch.from_arrays([batch], ["text"])], "text", SLICE_BYTES):
+                texts = part.column("text")
+                ends = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy().cumsum(dtype=np.int64)
+                data = np.frombuffer("".join(x for x in texts.to_pylist() if x).encode(), np.uint8)
+                bits = model.bits_per_symbol(data, ends)
+                low = bits.min(axis=0)
+                second = np.partition(bits, 1, axis=0)[1] if len(bits) > 1 else np.full(len(low), np.inf)
+                languages.append(bits.argmin(axis=0))
+                scores.append(1 - np.divide(low, second, out=np.ones_like(low), where=second > 0))
+            best = np.concatenate(languages) if languages else np.empty(0, np.int64)
+            score = np.concatenate(scores) if scores else np.empty(0)
+            yield pa.StructArray.from_arrays([known.take(pa.array(best)), pa.array(score)], ["lang", "score"])
+
+    # only the texts go to Python, and only once: Catalyst may not repeat the parse in a filter on its result
+    parsed = df.toDF(*names).withColumn("x", predict.asNondeterministic()(text))
+    return parsed.select(
+        *names, F.when(lettered, F.col("x.lang")).otherwise(UNKNOWN), F.when(lettered, F.col("x.score")).otherwise(0.0),
+    ).toDF(*df.columns, "lang_pred", "score")
 
 
 def identify_languages(df: DataFrame, samples: tuple[tuple[str, bytes], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

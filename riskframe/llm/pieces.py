@@ -328,28 +328,27 @@ def encode_pieces(
 
     ``model`` is a path on the driver; the vocabulary (half a megabyte) is broadcast. ``dropout`` 0 is plain BPE.
     """
-    names = [f"k{n}" for n in range(len(keep))]
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
-                     *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, names)],
-                     *[F.col(f"`{c}`").alias("copy") for c in [copy_col] if c is not None])
-    width = 2 + len(keep)
-    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes[:width])
     shared = df.sparkSession.sparkContext.broadcast(read_model(model))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         free_memory()
         pieces = Pieces.of(shared.value, dropout, seed)
-        for part in slices(batches, "text", SLICE_BYTES):
-            keys = [str(k) for k in part.column("id").to_pylist()]
-            if copy_col is not None:
-                keys = [f"{k} {n}" for k, n in zip(keys, part.column("copy").to_pylist())]
-            texts = part.column("text")
-            ids, sizes = pieces.encode_all(texts.to_pylist(), keys)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()), mask=texts.is_null())
-            yield pa.RecordBatch.from_arrays([*part.columns[:width], lists], [*part.schema.names[:width], "pieces"])
-
-    return rows.mapInArrow(encode, f"{kinds}, pieces array<int>").toDF(id_col, text_col, *keep, "pieces")
+        for text, *key in batches:
+            lists = []
+            columns = ["text", *(f"k{n}" for n in range(len(key)))]
+            for part in slices([pa.RecordBatch.from_arrays([text, *key], columns)], "text", SLICE_BYTES):
+                texts, *of = part.columns
+                keys = [" ".join(map(str, k)) for k in zip(*(c.to_pylist() for c in of))]
+                ids, sizes = pieces.encode_all(texts.to_pylist(), keys)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                lists.append(pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()), mask=texts.is_null()))
+            yield pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+
+    # only texts and keys go to Python, the other columns stay in the JVM
+    key = [F.col(f"`{c}`") for c in (id_col, copy_col) if c is not None]
+    kept = [F.col(f"`{c}`") for c in (id_col, text_col, *keep)]
+    return df.select(*kept, encode(F.col(f"`{text_col}`"), *key)).toDF(id_col, text_col, *keep, "pieces")
 
 
 def decode_pieces(df: DataFrame, pieces_col: str = "pieces", model: str = MODEL) -> DataFrame:
