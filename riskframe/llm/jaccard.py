@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_memory, shuffle_parts, slices, written
+from .common import shuffle_parts, slices, tidy, written
 from .components import connected_components, merged_components
 from .shingles import mixed, shingle_sets
 
@@ -138,7 +138,7 @@ def shingled(df: DataFrame, words: int) -> tuple[DataFrame, GlobalOrder]:
             [part, pa.array([classes.tobytes()], pa.binary()), pa.array([weight.tolist()], pa.list_(pa.int64()))],
             ["part", "classes", "weight"])
 
-    out = written(df.mapInArrow(read, f"id {kind}, n int, node long, part int, counts binary"), "shingled")
+    out = written(df.mapInArrow(tidy(read), f"id {kind}, n int, node long, part int, counts binary"), "shingled")
     sums = out.where("part IS NOT NULL").select("part", "counts").groupBy("part")
     classes, weight = np.zeros((PARTS, CELLS // PARTS), np.uint8), np.zeros(256, np.int64)
     for row in sums.applyInArrow(add, "part int, classes binary, weight array<long>").collect():
@@ -177,7 +177,6 @@ def _meetings(df: DataFrame, order, words: int, percent: int) -> DataFrame:
                                              ["bucket", "met", "entries", *inner.schema.names])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
         places, held, n_held = order.value, [], 0
         for part in slices(batches, "text", SLICE_BYTES):
             for shingles in shingle_sets(part.column("text").to_pylist(), words):
@@ -214,8 +213,8 @@ def _meetings(df: DataFrame, order, words: int, percent: int) -> DataFrame:
             if len(e):
                 yield _batch_of(e)
 
-    sent_rows = df.mapInArrow(send, f"bucket int, met boolean, entries binary, {_ROWS}")
-    return written(sent_rows.repartition(buckets, "bucket").mapInArrow(meet, _ROWS), "meetings")
+    sent_rows = df.mapInArrow(tidy(send), f"bucket int, met boolean, entries binary, {_ROWS}")
+    return written(sent_rows.repartition(buckets, "bucket").mapInArrow(tidy(meet), _ROWS), "meetings")
 
 
 def _candidates(entries: DataFrame, percent: int, most: int | None) -> DataFrame:
@@ -281,7 +280,7 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, count: int, or
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
                                                  ["fragment", "group", "x", "piece"])
 
-    pieces = of.mapInArrow(cut, "fragment int, group int, x long, piece binary")
+    pieces = of.mapInArrow(tidy(cut), "fragment int, group int, x long, piece binary")
     asked = placed.select(F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "group", "x", "y")
     met = pieces.withColumn("y", F.lit(None).cast("long")).unionByName(asked.withColumn("piece", F.lit(None).cast("binary")))
 

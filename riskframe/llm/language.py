@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_memory, resident, slices
+from .common import resident, slices, tidy
 
 UNKNOWN = "und"
 #: The learning sample: per language at most ``SAMPLE_TEXTS`` distinct pieces of ``SAMPLE_CHARS`` characters, each from
@@ -167,8 +167,8 @@ def with_language(df: DataFrame, samples: tuple[tuple[str, bytes], ...], text_co
     shared = df.sparkSession.sparkContext.broadcast(samples)
 
     @F.arrow_udf("struct<lang: string, score: double>")
+    @tidy
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        free_memory()
         model = Automata.of(shared.value)
         known = pa.array(model.languages)
         for batch in batches:

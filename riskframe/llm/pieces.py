@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_memory, resident, slices
+from .common import resident, slices, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
@@ -64,22 +64,38 @@ def _within(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
+def _vocabulary(model: bytes) -> list:
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(model)
+    return list(proto.pieces)
+
+
+def _bytes_of(vocabulary: list) -> list[bytes]:
+    """What each piece stands for; byte pieces are type 6, control pieces stand for nothing."""
+    stands = {1: lambda piece: piece.replace(SPACE, " ").encode(), 6: lambda piece: bytes([int(piece[1:-1], 16)])}
+    return [stands[p.type](p.piece) if p.type in stands else b"" for p in vocabulary]
+
+
+def _joined(bytes_of: list[bytes], ids: list[int]) -> str:
+    """The text of pieces, without the space in front that encoding adds."""
+    whole = b"".join(map(bytes_of.__getitem__, ids))
+    return whole[1:].decode() if whole else ""
+
+
 class Pieces:
     """The vocabulary of one model file as merge table, with the segmentations found so far."""
 
     def __init__(self, model: bytes, dropout: float, seed: int):
-        from sentencepiece import sentencepiece_model_pb2
-
-        proto = sentencepiece_model_pb2.ModelProto()
-        proto.ParseFromString(model)
-        normal = [(k, p.piece, p.score) for k, p in enumerate(proto.pieces) if p.type == 1]
+        vocabulary = _vocabulary(model)
+        normal = [(k, p.piece, p.score) for k, p in enumerate(vocabulary) if p.type == 1]
         self.id_of = {piece.replace(SPACE, " "): k for k, piece, _ in normal}
-        self.bytes_of = [p.piece.replace(SPACE, " ").encode() if p.type == 1 else b"" for p in proto.pieces]
+        self.bytes_of = _bytes_of(vocabulary)
         self.byte_ids = [0] * 256
-        for k, p in enumerate(proto.pieces):
+        for k, p in enumerate(vocabulary):
             if p.type == 6:
-                self.byte_ids[int(p.piece[1:-1], 16)] = k
-                self.bytes_of[k] = bytes([int(p.piece[1:-1], 16)])
+                self.byte_ids[self.bytes_of[k][0]] = k
         #: left id and right id -> candidate, for every way to put a piece together from two; also as sorted arrays
         ranks = {score: k for k, score in enumerate(sorted({score for _, _, score in normal}, reverse=True))}
         self.merges = {}
@@ -310,8 +326,7 @@ class Pieces:
         return self.encode_all([text], [key])[0].tobytes()
 
     def decode(self, ids) -> str:
-        whole = b"".join(map(self.bytes_of.__getitem__, ids))
-        return whole[1:].decode() if whole else ""
+        return _joined(self.bytes_of, ids)
 
 
 def read_model(path: str = MODEL) -> bytes:
@@ -331,8 +346,8 @@ def encode_pieces(
     shared = df.sparkSession.sparkContext.broadcast(read_model(model))
 
     @F.arrow_udf("array<int>")
+    @tidy
     def encode(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        free_memory()
         pieces = Pieces.of(shared.value, dropout, seed)
         for text, *key in batches:
             lists = []
@@ -356,11 +371,14 @@ def decode_pieces(df: DataFrame, pieces_col: str = "pieces", model: str = MODEL)
     shared = df.sparkSession.sparkContext.broadcast(read_model(model))
 
     @F.arrow_udf("string")
-    def decode(column: pa.Array) -> pa.Array:
-        pieces = Pieces.of(shared.value, 0.0, 0)
-        ids, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-        texts = [None if not ok else pieces.decode(ids[a:b].tolist())
-                 for ok, a, b in zip(column.is_valid().to_pylist(), ends[:-1], ends[1:])]
-        return pa.array(texts, pa.string())
+    @tidy
+    def decode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # not kept beyond the task: the worker may be the one that encodes next
+        bytes_of = _bytes_of(_vocabulary(shared.value))
+        for column in columns:
+            ids, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+            texts = [None if not ok else _joined(bytes_of, ids[a:b].tolist())
+                     for ok, a, b in zip(column.is_valid().to_pylist(), ends[:-1], ends[1:])]
+            yield pa.array(texts, pa.string())
 
     return df.withColumn("decoded", decode(F.col(f"`{pieces_col}`")))

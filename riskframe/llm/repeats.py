@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_memory, shuffle_parts, slices, written
+from .common import shuffle_parts, slices, tidy, tidy_cogroup, written
 from .shingles import mixed, powers
 from .suffixes import MARK, repeated_windows
 
@@ -207,7 +207,6 @@ def _meetings(docs: DataFrame, buckets: int, homes: int) -> DataFrame:
         yield from _batch(rows)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
         keys, records, held = [], [], 0
         for part in slices(batches, "text", SLICE_BYTES):
             key, record = stretches(_encoded(part.column("text")), _as_docs(part.column("id")))
@@ -235,8 +234,8 @@ def _meetings(docs: DataFrame, buckets: int, homes: int) -> DataFrame:
                 yield from _batch(_dealt(_spans(e[whole]), e["doc"][whole] % homes, homes, _SPANS))
                 yield from _batch(_dealt(_asks(e[ask]), e["doc"][ask] % homes, homes, _ASKS))
 
-    sent_rows = docs.mapInArrow(send, _BLOCKS)
-    return sent_rows.repartition(buckets, "bucket").mapInArrow(meet, _BLOCKS)
+    sent_rows = docs.mapInArrow(tidy(send), _BLOCKS)
+    return sent_rows.repartition(buckets, "bucket").mapInArrow(tidy(meet), _BLOCKS)
 
 
 def _first_of(mask: np.ndarray, head: np.ndarray) -> np.ndarray:
@@ -367,9 +366,11 @@ class _ByText:
         return self.records[a:b]
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), as_text: bool = False,
+) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, spans array<struct<start, stop>>, kept (binary: what is left), and
-    the columns ``keep`` as they are.
+    the columns ``keep`` as they are. With ``as_text`` kept is a string, without characters of which only some bytes are left.
 
     Removed is every byte of a 50-byte string that also starts in a row with a smaller id; strings lie within one
     text and are judged on the input. Ids are integers. Null texts are empty; rows with equal ids, equal rows
@@ -398,7 +399,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.Table.from_batches(_batch(_dealt_parts(np.concatenate(parts), np.concatenate(strings), buckets)), _SCHEMA)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
         for kinds in _gathered(batches).values():
             both = [_parts_and_strings(block) for block in kinds[_PARTS]]
             spans = compare_parts(*(np.concatenate(x) for x in zip(*both)))
@@ -406,8 +406,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     by_home = texts.groupBy("home")
     asks = met.where(F.col("kind") == _ASKS).withColumnRenamed("bucket", "home")
-    read_rows = by_home.cogroup(asks.groupBy("home")).applyInArrow(read, _BLOCKS)
-    compared = written(read_rows.repartition(buckets, "bucket").mapInArrow(compare, _BLOCKS), "compared")
+    read_rows = by_home.cogroup(asks.groupBy("home")).applyInArrow(tidy_cogroup(read), _BLOCKS)
+    compared = written(read_rows.repartition(buckets, "bucket").mapInArrow(tidy(compare), _BLOCKS), "compared")
 
     def cut(key, texts: pa.Table, blocks: pa.Table) -> pa.Table:
         spans, done, n_bytes = _ByText(blocks.column("block").to_pylist(), _SPAN), [], []
@@ -415,18 +415,20 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for doc, text in zip(_as_docs(batch.column("id")).tolist(), _encoded(batch.column("text"))):
                 done.append(cut_spans(text, spans.of(doc, text)))
                 n_bytes.append(len(text))
+        left = pa.string() if as_text else pa.binary()
         edges = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         return pa.table({
             "id": texts.column("id"), "n_bytes": pa.array(n_bytes, pa.int64()),
             "n_removed": pa.array([sum(b - a for a, b in runs) for runs, _ in done], pa.int64()),
             "n_spans": pa.array([len(runs) for runs, _ in done], pa.int64()),
             "spans": pa.array([[{"start": a, "stop": b} for a, b in runs] for runs, _ in done], edges),
-            "kept": pa.array([kept for _, kept in done], pa.binary()), **{k: texts.column(k) for k in extra}})
+            "kept": pa.array([kept.decode("utf-8", "ignore") if as_text else kept for _, kept in done], left), **{k: texts.column(k) for k in extra}})
 
     spans = met.where(F.col("kind") == _SPANS).unionByName(compared).withColumnRenamed("bucket", "home")
     kinds = "".join(f", {k} {texts.schema[k].dataType.simpleString()}" for k in extra)
     out = by_home.cogroup(spans.groupBy("home")).applyInArrow(
-        cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,stop:int>>, kept binary{kinds}")
+        tidy_cogroup(cut), f"id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,stop:int>>, "
+        f"kept {'string' if as_text else 'binary'}{kinds}")
     return out.toDF(id_col, *out.columns[1:6], *keep)
 
 
