@@ -13,7 +13,7 @@ from riskframe.llm.jaccard import jaccard_components
 from riskframe.llm.language import UNKNOWN, learning_sample, with_language
 from riskframe.llm.mixing import mix_sources, take
 from riskframe.llm.pieces import encode_pieces
-from riskframe.llm.repeats import decoded, remove_repeats
+from riskframe.llm.repeats import remove_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +44,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut what an earlier document has, in strings of 50 bytes or more; documents of which nothing is left go."""
+    """Cut what an earlier document has, in strings of 50 bytes or more; documents of which nothing is left go.
+
+    Ids are integers; a missing id comes after all others. Null texts become empty ones and stay.
+    """
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    left = remove_repeats(docs, keep=others).withColumn("text", decoded(F.col("kept")))
-    left = left.where((F.length("text") > 0) | (F.col("n_removed") == 0))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    # positions instead of names: whatever the other columns are called
+    names = [f"c{k}" for k in range(len(others))]
+    left = remove_repeats(docs, keep=others, as_text=True).toDF("id", "n_bytes", "n_removed", "n_spans", "spans", "kept", *names)
+    left = left.where((F.length("kept") > 0) | (F.col("n_removed") == 0))
+    now = {**{c: F.col(k) for c, k in zip(others, names)}, "doc_id": F.col("id"), "text": F.col("kept")}
+    now["n_chars"] = F.length("kept").cast("long")
+    return left.select(*[now[c].alias(c) for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
