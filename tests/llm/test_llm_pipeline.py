@@ -65,3 +65,14 @@ def test_rows_with_missing_and_repeated_ids(spark):
     assert kept.columns == docs.columns and kept.count() == 7
     for stage in (corpus_pipeline.language, corpus_pipeline.near_duplicates):
         assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_repeats_stage_with_odd_rows_and_clashing_columns(spark):
+    shared = "é" * 40 + " a passage of more than fifty bytes that both have, to the letter"
+    rows = [(1, shared, 1, "x", 5), (2, "ü" + shared, 2, "y", 6), (3, None, 3, "z", 7), (None, shared, 4, "w", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, kept string, n_removed long")
+    got = {r["kept"]: r for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
+    assert set(got) == {"x", "y", "z"}  # of the last nothing is left
+    assert [got[k]["text"] for k in "xyz"] == [shared, "ü", ""] and [got[k]["n_removed"] for k in "xyz"] == [5, 6, 7]
+    assert [got[k]["n_chars"] for k in "xyz"] == [len(shared), 1, 0]
+    assert corpus_pipeline.repeated_passages(spark, docs.limit(0), "").count() == 0
