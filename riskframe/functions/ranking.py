@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import struct
 from dataclasses import dataclass
+from functools import reduce
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,8 @@ ROUND_COUNTERS = 1 << 20  # counters of one round over all open intervals
 MIN_DIGIT_BITS, MAX_DIGIT_BITS = 10, 14
 HEX_DIGITS_PER_LEVEL = 3
 KEY_DIGITS = 32
-LAST_ROUND_ROWS = 1 << 16  # where no open group has more rows left, the next round counts whole keys and is the last
+LAST_ROUND_ROWS = 1 << 16  # a group that has no more rows left is ranked row by row
+HEAD_DIGITS = 15  # leading digits of a hash key that fit a long
 _MANTISSA = 52
 _INFINITE_KEY = 0x7FF << _MANTISSA
 
@@ -251,51 +253,96 @@ def hash_cuts(keys: DataFrame, quota: Column | DataFrame) -> DataFrame:
     ends behind a prefix, ``key`` is the last key with it and ``take`` equals ``ties``. ``quota`` is an expression over the
     group's size ``rows``, or a table ``(grp, quota)``.
 
-    Three digits are fixed a round, all that are left in the last one. The state is a table with a row for each open group; a group is done when its quota
-    ends exactly behind a prefix or inside a single key, and only rows under the prefix of an open group go on, about 1 of
-    4,096 a round. A NULL group is a group.
+    What moves are the first 15 digits of a key, as a long. Groups of few rows are ranked by them at once, in one shuffle
+    by group. In large groups three digits are fixed a round, by counts of prefixes; only rows under the prefix of an open
+    group go on, about 1 of 4,096 a round. Where the quota ends among rows that agree in all that was compared, the whole
+    keys of these rows are counted. The sizes of the groups, counted first, say which way a group goes. A NULL group is a group.
     """
-    order = Window.partitionBy("grp").orderBy("prefix")
-    group = Window.partitionBy("grp")
-    digits, done = HEX_DIGITS_PER_LEVEL, None
     named = keys.select(F.col("grp"), F.col("key").alias("whole"))
-    need = None  # of the first round: from the quota
+    sizes = named.groupBy("grp").agg(F.count("*").alias("rows"))
+    if isinstance(quota, DataFrame):
+        sizes = sizes.join(quota.select(F.col("grp").alias("g"), "quota"), F.col("grp").eqNullSafe(F.col("g"))).drop("g")
+    else:
+        sizes = sizes.withColumn("quota", quota)
+    sizes = _stored(sizes.withColumn("quota", F.greatest("quota", F.lit(0)).cast("long")).where("quota <= rows"), "sizes")
+    zero = F.lit(0).cast("long")
+    done = [sizes.where("quota = 0").select("grp", "rows", "quota", F.lit("").alias("key"), zero.alias("take"), zero.alias("ties"))]
+    wanted, few = sizes.where("quota > 0"), F.col("rows") <= LAST_ROUND_ROWS
+    smallest, largest = wanted.agg(F.min("rows"), F.max("rows")).first()
+    heads = named.select("grp", F.conv(F.substring("whole", 1, HEAD_DIGITS), 16, 10).cast("long").alias("head"))
+    levels = []
+    if smallest is not None:
+        large = wanted.where(~few).select(F.col("grp").alias("og"))
+        in_large = F.col("grp").eqNullSafe(F.col("og"))
+        if smallest <= LAST_ROUND_ROWS:
+            rows = heads if largest <= LAST_ROUND_ROWS else heads.join(large, in_large, "left_anti")
+            levels.append(_stored(_ranked(rows, wanted.where(few)), "cuts"))
+        if largest > LAST_ROUND_ROWS:
+            rows = heads if smallest > LAST_ROUND_ROWS else heads.join(large, in_large, "left_semi")
+            levels += _narrowed(rows, wanted.where(~few))
+    done += [level.where(~F.col("open")).select(*CUT_COLUMNS) for level in levels]
+    among = [level.where("open AND NOT more").select(
+        F.col("grp").alias("og"), "rows", "quota", F.expr("substring(key, 1, digits)").alias("under"), F.col("take").alias("need")) for level in levels]
+    if among:
+        state = reduce(DataFrame.unionByName, among)
+        if not state.isEmpty():
+            done.append(_stored(_counted(named, state), "cuts"))
+    return reduce(DataFrame.unionByName, done)
+
+
+def _hexadecimal(number: Column, digits: int) -> Column:
+    return F.lpad(F.lower(F.conv(number.cast("string"), 10, 16)), digits, "0")
+
+
+def _ranked(heads: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Cuts of groups of few rows. The sizes of a group travel as a row before its keys, so one shuffle does."""
+    order = Window.partitionBy("grp").orderBy("head")
+    none = F.lit(None).cast("long")
+    both = heads.select("grp", "head", none.alias("rows"), none.alias("quota")).unionAll(
+        wanted.select("grp", F.lit(-1).cast("long"), "rows", "quota"))
+    first = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = both.select(
+        "grp", "head", F.first("rows").over(first).alias("rows"), F.first("quota").over(first).alias("quota"),
+        (F.row_number().over(order) - 1).alias("place"), (F.rank().over(order) - 2).alias("before"), F.lead("head").over(order).alias("next"))
+    take = F.col("quota") - F.col("before")
+    return placed.where("place = quota AND head >= 0").select(
+        "grp", "rows", "quota", F.rpad(_hexadecimal(F.col("head"), HEAD_DIGITS), KEY_DIGITS, "f").alias("key"), take.alias("take"),
+        take.alias("ties"), F.coalesce(F.col("next") == F.col("head"), F.lit(False)).alias("open"), F.lit(HEAD_DIGITS).alias("digits"),
+        F.lit(False).alias("more"))
+
+
+def _narrowed(heads: DataFrame, wanted: DataFrame) -> list[DataFrame]:
+    """Cuts of large groups, a table a round. Those that are open and need not go on have few rows left, or equal heads."""
+    state, levels, digits = wanted.withColumn("need", F.col("quota")), [], min(HEX_DIGITS_PER_LEVEL, HEAD_DIGITS)
+    order = Window.partitionBy("g").orderBy("prefix")
     while True:
-        prefix = F.substring("whole", 1, digits)
-        counted = named.groupBy("grp", prefix.alias("prefix")).agg(
-            F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
-        level = counted.withColumn("before", F.sum("n").over(order) - F.col("n"))
-        if need is None:
-            level = level.withColumn("rows", F.sum("n").over(group))
-            if isinstance(quota, DataFrame):
-                asked = quota.select(F.col("grp").alias("g"), "quota")
-                level = level.join(asked, F.col("grp").eqNullSafe(F.col("g"))).drop("g")
-            else:
-                level = level.withColumn("quota", quota)
-            level = level.withColumn("quota", F.greatest("quota", F.lit(0)).cast("long")).withColumn("need", F.col("quota"))
-        else:
-            level = level.withColumnRenamed("grp", "g").join(need, F.col("g").eqNullSafe(F.col("grp"))).drop("g")
-        single = F.when(F.col("low") == F.col("high"), F.col("low"))
-        hit = (F.col("before") < F.col("need")) & (F.col("before") + F.col("n") >= F.col("need"))
-        none = (F.col("need") == 0) & (F.col("before") == 0)
-        level = _stored(level.where(hit | none).select(
-            "grp", "rows", "quota", F.when(F.col("need") > 0, F.coalesce(single, F.rpad("prefix", KEY_DIGITS, "f"))).otherwise("").alias("key"),
-            F.when(F.col("need") > 0, F.col("need") - F.col("before")).otherwise(0).alias("take"),
-            F.when(F.col("need") > 0, F.col("n")).otherwise(0).alias("ties"),
-            ((F.col("need") > F.col("before")) & (F.col("need") < F.col("before") + F.col("n")) & single.isNull()).alias("open")), "cuts")
-        closed = level.where(~F.col("open"))
-        done = closed if done is None else done.unionByName(closed)
-        open_groups = level.where("open")
-        largest = None if digits >= KEY_DIGITS else open_groups.agg(F.max("ties")).first()[0]
-        if largest is None:
-            return done.select(*CUT_COLUMNS)
-        state = open_groups.select(F.col("grp").alias("og"), F.substring("key", 1, digits).alias("under"))
-        named = named.join(state, F.col("grp").eqNullSafe(F.col("og")) & (prefix == F.col("under"))).select("grp", "whole")
-        need = open_groups.select("grp", "rows", "quota", F.col("take").alias("need"))
-        if largest <= LAST_ROUND_ROWS:
-            digits = KEY_DIGITS
-        else:
-            named, digits = _stored(named, "narrowed"), digits + HEX_DIGITS_PER_LEVEL
+        prefix = F.shiftright("head", 4 * (HEAD_DIGITS - digits))
+        counted = heads.groupBy(F.col("grp").alias("g"), prefix.alias("prefix")).agg(
+            F.count("*").alias("n"), F.min("head").alias("low"), F.max("head").alias("high"))
+        level = counted.withColumn("before", F.sum("n").over(order) - F.col("n")).join(state, F.col("g").eqNullSafe(F.col("grp")))
+        single, unfinished = F.col("low") == F.col("high"), F.col("need") < F.col("before") + F.col("n")
+        key = F.when(single, _hexadecimal(F.col("low"), HEAD_DIGITS)).otherwise(_hexadecimal(F.col("prefix"), digits))
+        level = _stored(level.where((F.col("before") < F.col("need")) & (F.col("before") + F.col("n") >= F.col("need"))).select(
+            "grp", "rows", "quota", F.rpad(key, KEY_DIGITS, "f").alias("key"), (F.col("need") - F.col("before")).alias("take"),
+            F.col("n").alias("ties"), unfinished.alias("open"), F.when(single, HEAD_DIGITS).otherwise(digits).alias("digits"),
+            (unfinished & ~single & (F.col("n") > LAST_ROUND_ROWS) & F.lit(digits < HEAD_DIGITS)).alias("more"), "prefix"), "cuts")
+        levels.append(level)
+        going = level.where("more")
+        if going.isEmpty():
+            return levels
+        under = going.select(F.col("grp").alias("og"), F.col("prefix").alias("under"))
+        heads = _stored(heads.join(under, F.col("grp").eqNullSafe(F.col("og")) & (prefix == F.col("under"))).select("grp", "head"), "narrowed")
+        state = going.select("grp", "rows", "quota", F.col("take").alias("need"))
+        digits = min(digits + HEX_DIGITS_PER_LEVEL, HEAD_DIGITS)
+
+
+def _counted(named: DataFrame, state: DataFrame) -> DataFrame:
+    """Cuts by whole keys, of the rows under the open prefix of their group."""
+    rows = named.join(state, F.col("grp").eqNullSafe(F.col("og")) & F.col("whole").startswith(F.col("under")))
+    counted = rows.groupBy("grp", "rows", "quota", "need", "whole").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("grp").orderBy("whole")) - F.col("n")
+    return counted.withColumn("before", before).where("before < need AND before + n >= need").select(
+        "grp", "rows", "quota", F.col("whole").alias("key"), (F.col("need") - F.col("before")).alias("take"), F.col("n").alias("ties"))
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
