@@ -11,8 +11,10 @@ import math
 import struct
 from dataclasses import dataclass
 from functools import reduce
-from typing import Iterable, Mapping, Sequence
+from typing import Callable, Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +28,6 @@ HEX_DIGITS_PER_LEVEL = 3
 KEY_DIGITS = 32
 LAST_ROUND_ROWS = 1 << 16  # a group that has no more rows left is ranked row by row
 HEAD_DIGITS = 15  # leading digits of a hash key that fit a long
-_MANTISSA = 52
-_INFINITE_KEY = 0x7FF << _MANTISSA
 
 
 def sum_or_zero(values: Column) -> Column:
@@ -53,37 +53,41 @@ def _whole(kind: T.DataType) -> bool:
     return isinstance(kind, T.IntegralType)
 
 
-def with_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Only ``columns``, as keys: whole numbers as they are, everything else as the bits of its double.
+def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Only ``columns``: whole numbers as longs, everything else as doubles. Missing, NaN and unreadable values are NULL."""
+    def number(c: str) -> Column:
+        value, kind = F.col(f"`{c}`"), df.schema[c].dataType
+        if _whole(kind):
+            return value.cast("long")
+        return to_number(value.cast("int") if isinstance(kind, T.BooleanType) else value)
+
+    return df.select(*[number(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
-    SQL has no view of a double's bits, so exponent and mantissa are computed: the logarithm proposes the exponent, two
-    comparisons correct it, and dividing by a power of two is exact. Missing, NaN and unreadable values are NULL.
-    """
-    doubles = [c for c in columns if not _whole(df.schema[c].dataType)]
 
-    def step(frame: DataFrame, **made: Column) -> DataFrame:
-        return frame.select(*[F.col(f"`{c}`") for c in frame.columns if c not in made], *[v.alias(n) for n, v in made.items()])
+def _maker() -> Callable[[np.ndarray], np.ndarray]:
+    """The function from longs or doubles to keys. Functions for tasks are made here and below, as closures: they travel
+    whole, so executors need no copy of this package."""
 
-    out = df.select(*[
-        F.col(f"`{c}`").cast("long").alias(f"k{i}") if c not in doubles else to_number(
-            F.col(f"`{c}`").cast("int") if isinstance(df.schema[c].dataType, T.BooleanType) else F.col(f"`{c}`")).alias(f"v{i}")
-        for i, c in enumerate(columns)])
-    places = [columns.index(c) for c in doubles]
+    def keys_of(values: np.ndarray) -> np.ndarray:
+        if values.dtype != np.float64:
+            return values
+        bits = np.abs(values).view(np.int64)
+        return np.where(values < 0, -bits, bits)
 
-    def each(name: str, make) -> dict[str, Column]:
-        return {f"{name}{i}": make(*[F.col(f"{part}{i}") for part in "vaepxq"]) for i in places}
+    return keys_of
+
+
+def with_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Only ``columns``, as keys: whole numbers as they are, everything else as the bits of its double."""
+    keys_of = _maker()
 
-    if places:
-        most, least = F.lit(1.7976931348623157e308), F.lit(2.0**-1022)
-        out = step(out, **each("a", lambda v, *_: F.when(F.abs(v) <= most, F.abs(v))))  # infinite values have none
-        out = step(out, **each("e", lambda v, a, *_: F.least(F.coalesce(F.floor(F.log2(a)), F.lit(0)), F.lit(1023))))
-        out = step(out, **each("p", lambda v, a, e, *_: F.pow(F.lit(2.0), e)))
-        exponents = each("x", lambda v, a, e, p, *_: F.greatest(e - (a < p).cast("int") + (a >= p * 2).cast("int"), F.lit(-1022)))
-        powers = each("q", lambda v, a, e, p, *_: F.greatest(F.when(a < p, p / 2).when(a >= p * 2, p * 2).otherwise(p), least))
-        out = step(out, **exponents, **powers)
-        bits = lambda a, x, q: (x + 1022) * F.lit(1 << _MANTISSA) + (a / q * F.lit(float(1 << _MANTISSA))).cast("long")
-        out = step(out, **each("k", lambda v, a, e, p, x, q: F.signum(v).cast("long") * F.coalesce(bits(a, x, q), F.lit(_INFINITE_KEY))))
-    return out.select(*[F.col(f"k{i}") for i in range(len(columns))])
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [pa.array(keys_of(c.fill_null(0).to_numpy(zero_copy_only=False)), pa.int64(), mask=c.is_null().to_numpy(zero_copy_only=False))
+                    for c in batch.columns]
+            yield pa.RecordBatch.from_arrays(keys, names=batch.schema.names)
+
+    return _numbers(df, columns).mapInArrow(make, ", ".join(f"k{i} long" for i in range(len(columns))))
 
 
 # ---- order statistics ----------------------------------------------------------------------
@@ -117,37 +121,49 @@ class _Interval:
         return shift
 
 
-def _codes(intervals: Sequence[tuple[int, _Interval]], bits: int) -> Column:
-    """Code of a key: number of its interval and prefix inside it, NULL outside all; a balanced CASE over the intervals."""
-    key = F.col(f"k{intervals[0][1].column}")
-
-    def pick(some: Sequence[tuple[int, _Interval]]) -> Column:
-        if len(some) == 1:
-            number, x = some[0]
-            shift = x.shift(bits)
-            place = F.shiftright(key, shift) - F.lit(x.low >> shift)
-            return F.when((key >= F.lit(x.low)) & (key <= F.lit(x.high)), F.lit(number << (MAX_DIGIT_BITS + 1)) + place)
-        middle = len(some) // 2
-        return F.when(key < F.lit(some[middle][1].low), pick(some[:middle])).otherwise(pick(some[middle:]))
-
-    return pick(sorted(intervals, key=lambda entry: entry[1].low))
+def _round(numbers: DataFrame, intervals: Sequence[_Interval]) -> list[_Interval]:
+    """One grouped count over all columns: the narrower intervals in which the ranks fall.
 
-
-def _round(keys: DataFrame, intervals: Sequence[_Interval]) -> list[_Interval]:
-    """One grouped count over all columns: the narrower intervals in which the ranks fall."""
+    A task counts its rows into arrays, one counter a prefix; what is shuffled are the counters that it used.
+    """
     bits = min(MAX_DIGIT_BITS, max(MIN_DIGIT_BITS, (ROUND_COUNTERS // len(intervals)).bit_length() - 1))
-    by_column: dict[int, list[tuple[int, _Interval]]] = {}
-    for number, interval in enumerate(intervals):
-        by_column.setdefault(interval.column, []).append((number, interval))
-    entries = [F.struct(F.coalesce(_codes(some, bits), F.lit(-1)).alias("code"), F.col(f"k{c}").alias("key")) for c, some in by_column.items()]
-    # keys outside all intervals share code -1: a filter would be pushed down with the whole key expression in it
-    coded = keys.select(F.inline(F.array(*entries)))
-    counted = coded.groupBy("code").agg(
-        F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    used = sorted({x.column for x in intervals})
+    columns = {c: [number for number, x in enumerate(intervals) if x.column == c] for c in used}
+    spans = [(x.low, x.high, x.shift(bits)) for x in intervals]
+    keys_of, digits = _maker(), MAX_DIGIT_BITS + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # by prefix: rows, smallest and largest key
+        counters = []
+        for low, high, shift in spans:
+            size = (high >> shift) - (low >> shift) + 1
+            counters.append((np.zeros(size, np.int64), np.full(size, high, np.int64), np.full(size, low, np.int64)))
+        for batch in batches:
+            for c, numbers in columns.items():
+                keys = np.sort(keys_of(batch.column(f"k{c}").drop_null().to_numpy(zero_copy_only=False)))
+                for number in numbers:
+                    low, high, shift = spans[number]
+                    own = keys[np.searchsorted(keys, low):np.searchsorted(keys, high, side="right")]
+                    if not len(own):
+                        continue
+                    place = (own >> shift) - (low >> shift)
+                    start = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+                    stop = np.append(start[1:], len(own))
+                    (n, least, most), at = counters[number], place[start]
+                    n[at] += stop - start
+                    least[at] = np.minimum(least[at], own[start])
+                    most[at] = np.maximum(most[at], own[stop - 1])
+        for number, (n, least, most) in enumerate(counters):
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, pa.int64()) for v in ((number << digits) + at, n[at], least[at], most[at])], names=["code", "n", "low", "high"])
+
+    coded = numbers.select(*[f"k{c}" for c in used]).mapInArrow(count, "code long, n long, low long, high long")
+    counted = coded.groupBy("code").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     counted = counted.withColumn("interval", F.shiftright("code", MAX_DIGIT_BITS + 1).cast("int"))
     below = F.sum("n").over(Window.partitionBy("interval").orderBy("code")) - F.col("n")
     wanted = [(number, rank - x.below) for number, x in enumerate(intervals) for rank in x.ranks]
-    targets = local_frame(keys.sparkSession, wanted, "at int, offset long")  # one row a rank
+    targets = local_frame(numbers.sparkSession, wanted, "at int, offset long")  # one row a rank
     hits = counted.withColumn("below", below).join(
         F.broadcast(targets), (F.col("interval") == F.col("at")) & (F.col("offset") >= F.col("below"))
         & (F.col("offset") < F.col("below") + F.col("n"))).collect()
@@ -168,12 +184,24 @@ def key_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, in
     """(rows with a value, smallest key, largest key) of every column, in one aggregate."""
     if not columns:
         return {}
-    keys = with_keys(df, columns)
-    wanted = []
-    for i in range(len(columns)):
-        wanted += [F.count(f"k{i}").alias(f"n{i}"), F.min(f"k{i}").alias(f"low{i}"), F.max(f"k{i}").alias(f"high{i}")]
-    row = keys.agg(*wanted).first()
-    return {c: (row[f"n{i}"], row[f"low{i}"], row[f"high{i}"]) for i, c in enumerate(columns)}
+    keys_of = _maker()
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {}
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                keys = keys_of(column.drop_null().to_numpy(zero_copy_only=False))
+                if len(keys):
+                    n, low, high = found.get(i, (0, keys[0], keys[0]))
+                    found[i] = n + len(keys), min(low, keys.min()), max(high, keys.max())
+        if found:
+            columns = zip(*[(i, *x) for i, x in found.items()])
+            yield pa.RecordBatch.from_arrays([pa.array(list(map(int, v)), pa.int64()) for v in columns], names=["at", "n", "low", "high"])
+
+    each = _numbers(df, columns).mapInArrow(measure, "at long, n long, low long, high long")
+    rows = each.groupBy("at").agg(F.sum("n"), F.min("low"), F.max("high")).collect()
+    found = {row[0]: tuple(row)[1:] for row in rows}
+    return {c: found.get(i, (0, None, None)) for i, c in enumerate(columns)}
 
 
 def search_ranks(
@@ -193,9 +221,9 @@ def search_ranks(
             raise ValueError(f"column '{column}' has {n} values, ranks asked are {wanted}")
         if wanted:
             (done if low == high else opened).append(_Interval(i, low, high, 0, n, wanted))
-    keys = with_keys(df, columns)
+    numbers = _numbers(df, columns)
     while opened:
-        narrowed = _round(keys, opened)
+        narrowed = _round(numbers, opened)
         done += [x for x in narrowed if x.low == x.high]
         opened = [x for x in narrowed if x.low != x.high]
     return {(columns[x.column], rank): Found(x.low, x.below, x.rows) for x in done for rank in x.ranks}

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
-from typing import Any
+from typing import Any, Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +18,28 @@ from riskframe.plans.config import JobConfig
 from riskframe.plans.registry import ModelRegistry
 from riskframe.plans.scoring import HoldoutEvaluationResult, evaluate_registered_model_on_holdout, load_model
 from riskframe.plans.training import TrainingResult, train_boosting_model
+from riskframe.session import compiled_methods
 from riskframe.sources.tables import append_history, load_dataset, read_table, scoring_table, write_table
 
 
+def _compiled(step: Callable) -> Callable:
+    """A step whose wide projections the JVM compiles, whatever the session's own setting."""
+
+    @functools.wraps(step)
+    def run(spark: SparkSession, config: JobConfig) -> Any:
+        with compiled_methods(spark):
+            return step(spark, config)
+
+    return run
+
+
 @dataclass(frozen=True)
 class PrepareOutcome:
     quality: DataQualityReport
     split: SplitTablesResult
 
 
+@_compiled
 def prepare(spark: SparkSession, config: JobConfig) -> PrepareOutcome:
     """Ingest, check the contract, clean, derive features, write train, holdout and scoring tables.
 
@@ -74,6 +88,7 @@ def registry_of(spark: SparkSession, config: JobConfig) -> ModelRegistry:
     return ModelRegistry(spark, config.table("models"))
 
 
+@_compiled
 def train_and_promote(
     spark: SparkSession, config: JobConfig
 ) -> tuple[TrainingResult, HoldoutEvaluationResult]:
@@ -117,6 +132,7 @@ def train_and_promote(
     return result, evaluation
 
 
+@_compiled
 def score(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Score the unlabelled table with the promoted model.
 
@@ -131,6 +147,7 @@ def score(spark: SparkSession, config: JobConfig) -> DataFrame:
     return read_table(spark, config.table("predictions"))
 
 
+@_compiled
 def monitor(spark: SparkSession, config: JobConfig) -> DriftReport:
     """Drift of the scoring table against the training table, appended to the history."""
     ignored = [config.target_column, *config.id_columns]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from typing import Sequence
+from typing import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+#: The JVM never compiles methods above this size: let Spark split such projections instead.
+COMPILED_BYTES = "8000"
 
 
 def build_session(app_name: str = "riskframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -28,8 +32,7 @@ def build_session(app_name: str = "riskframe", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # the JVM never compiles methods above this size: let Spark split such projections instead
-        "spark.sql.codegen.hugeMethodLimit": "8000",
+        _METHOD_LIMIT: COMPILED_BYTES,
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
@@ -37,6 +40,17 @@ def build_session(app_name: str = "riskframe", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """What runs inside has methods that the JVM compiles, in sessions that :func:`build_session` did not make as well."""
+    before = spark.conf.get(_METHOD_LIMIT, None)
+    spark.conf.set(_METHOD_LIMIT, COMPILED_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_METHOD_LIMIT) if before is None else spark.conf.set(_METHOD_LIMIT, before)
+
+
 def active_session(spark: SparkSession | None = None) -> SparkSession:
     """Return ``spark`` or the active session; fail clearly when there is none."""
     session = spark or SparkSession.getActiveSession()

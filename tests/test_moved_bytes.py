@@ -1,11 +1,17 @@
 """What is moved and kept: shuffles of the cuts, counts made in arrays, scratch tables."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 import riskframe.functions.ranking as ranking
 import riskframe.operators.split as split_module
+from riskframe.operators.drift import feature_counts
 from riskframe.operators.split import IS_TEST, flag_stratified
+from riskframe.plans import jobs
+
+LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
 
 def classes(spark):
@@ -47,3 +53,34 @@ def test_small_classes_move_one_long_a_row(spark, monkeypatch):
     # the key is made behind the join
     exchanges = [x for x in flagged._jdf.queryExecution().optimizedPlan().toString().split("\n") if "md5" in x]
     assert exchanges and "Join" in flagged._jdf.queryExecution().optimizedPlan().toString().split(exchanges[-1])[1]
+
+
+def test_ranks_and_bins_are_counted_in_arrays(spark):
+    values = [-math.inf, -2.5, -0.0, 0.0, 1.0, 1.0, 3.0, math.inf, math.nan, None]
+    df = spark.createDataFrame([(v, i, "x" if i % 2 else None) for i, v in enumerate(values)], "v double, n long, c string")
+    assert ranking.key_ranges(df, ["v", "n"]) == {
+        "v": (8, ranking.double_key(-math.inf), ranking.double_key(math.inf)), "n": (10, 0, 9)}
+    found = ranking.search_ranks(df, {"v": [1, 3, 5]}, ranking.key_ranges(df, ["v"]))
+    assert [(ranking.key_double(x.key), x.below, x.equal) for x in (found["v", r] for r in (1, 3, 5))] == [(-2.5, 1, 1), (0.0, 2, 2), (1.0, 4, 2)]
+    counts = feature_counts(df, ["c", "v"], {"v": [-math.inf, 0.0, 1.0, math.inf]})
+    assert "MapInArrow" in counts._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in counts.collect()} == {(0, 0, "x", 5), (0, 0, "__MISSING__", 5), (1, 0, None, 2), (1, 1, None, 2), (1, 2, None, 4)}
+
+
+def test_job_steps_have_compiled_methods(spark, monkeypatch):
+    before, seen = spark.conf.get(LIMIT, None), []
+
+    def stop(*args, **options):
+        seen.append(spark.conf.get(LIMIT))
+        raise InterruptedError
+
+    for name in ("load_dataset", "registry_of", "load_model", "read_table"):
+        monkeypatch.setattr(jobs, name, stop)
+    spark.conf.set(LIMIT, "65535")
+    try:
+        for step in (jobs.prepare, jobs.train_and_promote, jobs.score, jobs.monitor):
+            with pytest.raises(InterruptedError):
+                step(spark, jobs.JobConfig("source.parquet", "/tmp/none", id_columns=("patient_id",)))
+        assert seen == ["8000"] * 4 and spark.conf.get(LIMIT) == "65535"
+    finally:
+        spark.conf.unset(LIMIT) if before is None else spark.conf.set(LIMIT, before)
