@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import table, written
+from riskframe.llm.common import discard, table, written
 from riskframe.llm.jaccard import jaccard_components
 from riskframe.llm.language import UNKNOWN, learning_sample, with_language
 from riskframe.llm.mixing import mix_sources, take
@@ -40,6 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     linked = written(components.select(row, "component_id").join(numbered.select(row, "doc_id"), row), "linked")
     first = linked.groupBy("component_id").agg(F.min(by_id)[row].alias("stays"))
     dropped = written(linked.join(first, "component_id").where(F.col(row) != F.col("stays")).select(row), "dropped")
+    discard(linked)
     return numbered.join(dropped, row, "left_anti").select(*docs.columns)
 
 

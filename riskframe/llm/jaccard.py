@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts, slices, tidy, written
+from .common import discard, shuffle_parts, slices, tidy, written
 from .components import connected_components, merged_components
 from .shingles import mixed, shingle_sets
 
@@ -317,16 +317,19 @@ def jaccard_components(
     order = df.sparkSession.sparkContext.broadcast(of_all)
     reps = written(sizes.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id")), "nodes")
     shared = written(_meetings(docs, order, words, percent).distinct(), "shared")
-    seen, component = None, None
+    seen, component, rounds = None, None, []
     for most in AHEAD:
         entries = shared.withColumn("component", F.col("node"))
         if component is not None:
             of = component.withColumnRenamed("component", "now")
             entries = shared.join(of, "node", "left").select("h", "node", "n", "at", F.coalesce("now", "node").alias("component"))
-        pairs = _candidates(written(entries, "entries"), percent, most)
+        entries = written(entries, "entries")
+        pairs = _candidates(entries, percent, most)
         if seen is not None:
             pairs = pairs.join(seen.select("x", "y"), ["x", "y"], "left_anti")
         pairs = written(pairs, "pairs")
+        rounds.append(pairs)
+        discard(entries)
         count = pairs.count()
         if not count:
             continue
@@ -336,6 +339,7 @@ def jaccard_components(
             component = written(connected_components(found), "components")
         else:
             component = written(merged_components(component, found), "components")
+    discard(shared, *rounds)
     if component is None:
         component = reps.select("node", F.col("node").alias("component")).limit(0)
     of = reps.join(component, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "id")

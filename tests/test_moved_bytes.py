@@ -1,7 +1,10 @@
 """What is moved and kept: shuffles of the cuts, counts made in arrays, scratch tables."""
 
 import math
+import os
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ import riskframe.operators.split as split_module
 from riskframe.operators.drift import feature_counts
 from riskframe.operators.split import IS_TEST, flag_stratified
 from riskframe.plans import jobs
+from riskframe.session import shared_dir
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
@@ -84,3 +88,28 @@ def test_job_steps_have_compiled_methods(spark, monkeypatch):
         assert seen == ["8000"] * 4 and spark.conf.get(LIMIT) == "65535"
     finally:
         spark.conf.unset(LIMIT) if before is None else spark.conf.set(LIMIT, before)
+
+
+def test_packed_records_are_small():
+    repeats = pytest.importorskip("riskframe.llm.repeats")
+    rng = np.random.default_rng(1)
+    records = np.zeros(20_000, repeats._STRETCH)
+    records["key"], records["text"] = np.sort(rng.integers(0, 2**32, 20_000)), rng.integers(0, 2**63, 20_000)
+    records["doc"], records["first"] = rng.integers(0, 300_000, 20_000), rng.integers(0, 5_000, 20_000)
+    records["windows"], records["anchor"] = rng.integers(1, 28, 20_000), rng.integers(0, 27, 20_000)
+    (_, _, block), = repeats._dealt(records, np.zeros(20_000, np.int64), 1, 0)
+    assert len(pa.compress(block, codec="lz4", asbytes=True)) < 0.85 * len(pa.compress(records.tobytes(), codec="lz4", asbytes=True))
+    assert (repeats.unpacked([block, repeats.packed(records[:0])], repeats._STRETCH) == records).all()
+
+
+def test_links_leave_no_entries_behind(spark):
+    jaccard = pytest.importorskip("riskframe.llm.jaccard")
+    before = set(os.listdir(shared_dir(spark)))
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (2, text + " more"), (3, "something else here entirely now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+    new = set(os.listdir(shared_dir(spark))) - before
+    left = [x for x in new if (spark.read.parquet(f"{shared_dir(spark)}/{x}").inputFiles() and spark.read.parquet(f"{shared_dir(spark)}/{x}").count())]
+    assert left and not [x for x in left if x.startswith(("llm-entries", "llm-shared"))]
