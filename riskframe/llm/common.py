@@ -61,8 +61,13 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 
 def free_memory() -> None:
-    """Give what earlier tasks of this Python worker have freed back to the machine: workers live through many stages."""
+    """Give what earlier tasks of this Python worker have freed back to the machine: workers live through many stages.
+
+    The modules of the worker are searched for garbage the first time only, which takes 40 ms and more.
+    """
     gc.collect()
+    if not gc.get_freeze_count():
+        gc.freeze()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

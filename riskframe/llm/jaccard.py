@@ -222,12 +222,16 @@ def _candidates(entries: DataFrame, percent: int, most: int | None) -> DataFrame
 
     ``entries`` has h, node, n, at, component; up to ``most`` entries ahead in a group's order by size are paired.
     """
-    open_groups = entries.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = pa.Table.from_batches(list(batches))
         h, node, n, at, component = (e.column(c).to_numpy() for c in ("h", "node", "n", "at", "component"))
         order = np.lexsort((node, n, h))
+        starts = np.flatnonzero(np.append(True, np.diff(h[order]) != 0))
+        of = component[order]
+        mixed_groups = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
+        order = order[np.repeat(mixed_groups, np.diff(np.append(starts, len(h))))]  # groups in one component are done
+        if not len(order):
+            return
         h, node, n, at, component = (x[order] for x in (h, node, n, at, component))
         starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         end = np.repeat(np.append(starts[1:], len(h)), np.diff(np.append(starts, len(h))))
@@ -246,9 +250,8 @@ def _candidates(entries: DataFrame, percent: int, most: int | None) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[i], node[j], n[i], n[j])], ["x", "y", "p", "q"])
             ahead += 1
 
-    rows = entries.join(open_groups.select("h"), "h")
     buckets = 4 * shuffle_parts(entries.sparkSession)
-    dealt = rows.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket")).applyInArrow(pair, "x long, y long, p int, q int")
+    dealt = entries.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket")).applyInArrow(pair, "x long, y long, p int, q int")
     met = dealt.groupBy("x", "y", "p", "q").agg(F.count("*").alias("met"))
     least = F.ceil(F.lit(percent) * (F.col("p").cast("long") + F.col("q")) / (100 + percent))
     return met.where(F.col("met") >= F.least(F.lit(MEETINGS), least)).select("x", "y", "p", "q")
@@ -281,24 +284,25 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, count: int, or
                                                  ["fragment", "group", "x", "piece"])
 
     pieces = of.mapInArrow(tidy(cut), "fragment int, group int, x long, piece binary")
-    asked = placed.select(F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "group", "x", "y")
-    met = pieces.withColumn("y", F.lit(None).cast("long")).unionByName(asked.withColumn("piece", F.lit(None).cast("binary")))
+    asked = placed.select(F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"), "group", "x", "y", "p", "q")
+    met = pieces.unionByName(asked, allowMissingColumns=True)
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, a, b = {}, [], []
+        piece, pairs = {}, []
         for batch in batches:
-            for x, y, blob in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "piece"))):
-                if y is None:
+            for x, blob in zip(*(batch.column(c).to_pylist() for c in ("x", "piece"))):
+                if blob is not None:
                     piece[x] = np.frombuffer(blob, np.uint64)
-                else:
-                    a.append(x)
-                    b.append(y)
+            asked = batch.filter(pa.compute.is_valid(batch.column("y")))
+            pairs.append(asked.select(["x", "y", "p", "q"]))
         none = np.empty(0, np.uint64)
-        both = [len(np.intersect1d(piece.get(x, none), piece.get(y, none), assume_unique=True)) for x, y in zip(a, b)]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(both, pa.int64())], ["x", "y", "both"])
+        for asked in pairs:
+            both = [len(np.intersect1d(piece.get(x, none), piece.get(y, none), assume_unique=True))
+                    for x, y in zip(asked.column("x").to_pylist(), asked.column("y").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*asked.columns, pa.array(both, pa.int64())], ["x", "y", "p", "q", "both"])
 
-    partial = met.groupBy("fragment", "group").applyInArrow(overlap, "x long, y long, both long")
-    total = partial.groupBy("x", "y").agg(F.sum("both").alias("both")).join(placed.select("x", "y", "p", "q"), ["x", "y"])
+    partial = met.groupBy("fragment", "group").applyInArrow(overlap, "x long, y long, p int, q int, both long")
+    total = partial.groupBy("x", "y", "p", "q").agg(F.sum("both").alias("both"))
     similar = F.col("both") * (100 + percent) >= percent * (F.col("p").cast("long") + F.col("q"))
     return written(total.where(similar).select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
 
@@ -323,13 +327,11 @@ def jaccard_components(
         if component is not None:
             of = component.withColumnRenamed("component", "now")
             entries = shared.join(of, "node", "left").select("h", "node", "n", "at", F.coalesce("now", "node").alias("component"))
-        entries = written(entries, "entries")
         pairs = _candidates(entries, percent, most)
         if seen is not None:
             pairs = pairs.join(seen.select("x", "y"), ["x", "y"], "left_anti")
         pairs = written(pairs, "pairs")
         rounds.append(pairs)
-        discard(entries)
         count = pairs.count()
         if not count:
             continue

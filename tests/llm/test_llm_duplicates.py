@@ -39,6 +39,22 @@ def test_components_of_chains_stars_and_rings(spark):
     assert components.connected_components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [4, 1 << 17])
+def test_components_by_contraction_in_tasks(spark, monkeypatch, most):
+    """Edges that fit one task take no rounds of shuffles; in many tasks the rounds join what the tasks have."""
+    rng, names = random.Random(5), []
+    monkeypatch.setattr(components, "TASK_EDGES", most)
+    monkeypatch.setattr(components, "written", lambda df, name, real=components.written: (names.append(name), real(df, name))[1])
+    edges = [(k + 1, k) for k in range(30)] + [(rng.randrange(40, 120), rng.randrange(40, 120)) for _ in range(60)] + [(-5, 2**62), (None, 3)]
+    edges += edges[:9]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    got = {r["node"]: r["component"] for r in components.connected_components(df).collect()}
+    kept = [e for e in edges if None not in e and -5 not in e]
+    assert [got.get(k, k) for k in range(120)] == smallest_reachable(120, kept) and got[2**62] == -5
+    if most > len(edges):
+        assert names == ["edges", "forest"]
+
+
 @pytest.mark.parametrize("size", [10, 11, 12])
 def test_words_that_cancel_in_powers_of_two_differ(size):
     """Thue-Morse words and their complements agree in every polynomial modulo 2^64."""
