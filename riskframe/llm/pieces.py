@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from functools import lru_cache
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -64,6 +65,33 @@ def _within(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Code point -> letter (0), mark (1), space (2) or line feed (3), as in ``UNIT``."""
+    kinds = np.ones(0x110000, np.uint8)
+    for found in re.finditer(f"{_LETTER}+", "".join(map(chr, range(len(kinds))))):
+        kinds[found.start():found.end()] = 0
+    kinds[[ord(" "), ord("\n")]] = 2, 3
+    return kinds
+
+
+#: Whether a unit ends between neighbours, by the kind of the first and that of the second.
+_ENDS = np.array([[0, 1, 1, 1], [0, 0, 1, 1], [0, 0, 0, 1], [1, 1, 1, 1]], bool).ravel()
+
+
+def _units_of(texts: Sequence[str]) -> tuple[list[str], np.ndarray]:
+    """The matches of ``UNIT`` in all texts, none of which is empty, and how many each text has."""
+    joined = "\n".join(texts)
+    kinds = _kinds()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    starts = np.append(0, np.flatnonzero(_ENDS[kinds[:-1] * 4 + kinds[1:]]) + 1)
+    first = np.cumsum([0, *(len(text) + 1 for text in texts)])
+    units = np.ones(len(starts), bool)
+    units[np.searchsorted(starts, first[1:-1] - 1)] = False  # the line feeds that join the texts
+    stops = np.append(starts[1:], len(joined))[units]
+    starts = starts[units]
+    return [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())], np.diff(np.searchsorted(starts, first))
+
+
 def _vocabulary(model: bytes) -> list:
     from sentencepiece import sentencepiece_model_pb2
 
@@ -84,6 +112,28 @@ def _joined(bytes_of: list[bytes], ids: list[int]) -> str:
     return whole[1:].decode() if whole else ""
 
 
+def _slot(pairs: np.ndarray, shift: np.uint64) -> np.ndarray:
+    return (pairs.view(np.uint64) * _STEP >> shift).view(np.int64)
+
+
+def _slots(merges: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """A hash table of at least four slots a pair: the pairs (``_NONE``: empty), their candidates, the hash's shift.
+    A pair lies in the first free slot at or behind its own."""
+    left = np.fromiter(merges.keys(), np.int64, len(merges))
+    of = np.fromiter(merges.values(), np.int64, len(merges))
+    bits = (4 * len(left) + 1).bit_length()
+    pairs, candidates = np.full(1 << bits, _NONE, np.int64), np.full(1 << bits, _NONE, np.int64)
+    shift = np.uint64(64 - bits)
+    at = _slot(left, shift)
+    while len(left):
+        free = np.flatnonzero(pairs[at] == _NONE)
+        slots, first = np.unique(at[free], return_index=True)
+        pairs[slots], candidates[slots] = left[free[first]], of[free[first]]
+        stay = pairs[at] != left
+        left, of, at = left[stay], of[stay], (at[stay] + 1) & (1 << bits) - 1
+    return pairs, candidates, shift
+
+
 class Pieces:
     """The vocabulary of one model file as merge table, with the segmentations found so far."""
 
@@ -105,9 +155,7 @@ class Pieces:
                 left, right = self.id_of.get(text[:at]), self.id_of.get(text[at:])
                 if left is not None and right is not None:
                     self.merges[left << 16 | right] = ranks[score] << _RANK | k
-        pairs = sorted(self.merges)
-        self.pairs = np.array([*pairs, _NONE], np.int64)
-        self.candidates = np.array([*map(self.merges.get, pairs), _NONE], np.int64)
+        self.pairs, self.candidates, self.shift = _slots(self.merges)
         #: code point -> its piece, or ``_OTHER``; a literal space mark has none
         self.characters = np.full(0x110000, _OTHER, np.uint16)
         for c, k in self.id_of.items():
@@ -130,8 +178,14 @@ class Pieces:
 
     def _found(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
         pairs = left << 16 | right
-        at = np.searchsorted(self.pairs, pairs)
-        return np.where(self.pairs[at] == pairs, self.candidates[at] | place << _PLACE, _NONE)
+        at = _slot(pairs, self.shift)
+        there = self.pairs[at]
+        open_ = np.flatnonzero((there != pairs) & (there != _NONE))
+        while len(open_):  # the slot is another pair's: the next one, up to an empty one
+            at[open_] = (at[open_] + 1) & len(self.pairs) - 1
+            there[open_] = self.pairs[at[open_]]
+            open_ = open_[(there[open_] != pairs[open_]) & (there[open_] != _NONE)]
+        return np.where(there == pairs, self.candidates[at] | place << _PLACE, _NONE)
 
     def merged(self, units: Sequence[str], keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Piece ids of all units, how many each unit has, and how many of its candidates came up; no dropout without
@@ -249,15 +303,19 @@ class Pieces:
 
     def _encode_units(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of units with these keys, and how many each unit has."""
-        sizes, of_row, ids = np.zeros(len(units), np.int64), np.arange(len(units)), []
-        long = [k for k, unit in enumerate(units) if len(unit) > SHORT]
-        missing = list({u for u in units if u not in self.plain and len(u) <= SHORT})
-        if missing:
-            # before the table may start anew, so that it has all units of the block
-            if self.plain_bytes > KEEP_BYTES:
-                missing = list({u for u in units if len(u) <= SHORT})
-            self._learn(missing)
-        found = [self.plain.get(u, b"\0\0") for u in units]
+        sizes, long = np.zeros(len(units), np.int64), []
+        found = list(map(self.plain.get, units))
+        if None in found:
+            none = [k for k, known in enumerate(found) if known is None]
+            long = [k for k in none if len(units[k]) > SHORT]
+            if len(long) < len(none):
+                # all units of the block where the table starts anew
+                anew = self.plain_bytes > KEEP_BYTES
+                self._learn(list({u for u in (units if anew else map(units.__getitem__, none)) if len(u) <= SHORT}))
+                for k in range(len(units)) if anew else none:
+                    found[k] = self.plain.get(units[k])
+            for k in long:
+                found[k] = b"\0\0"
         packed = np.frombuffer(b"".join(found), np.uint16)
         widths = np.fromiter(map(len, found), np.int64, len(units)) // 2
         heads = np.cumsum(widths) - widths
@@ -265,7 +323,12 @@ class Pieces:
         again = np.zeros(len(units), bool)
         again[long] = True
         if self.below:
-            again[np.repeat(of_row, came)[self._skips(np.repeat(keys, came), _within(came))]] = True
+            open_, number = np.flatnonzero(came), 0
+            while len(open_):
+                skips = self._skips(keys[open_], np.array([number]))
+                again[open_[skips]] = True
+                number += 1
+                open_ = open_[~skips & (came[open_] > number)]
         kept = np.repeat(~again, widths)
         kept[heads] = False
         sizes[:] = widths - 1
@@ -296,7 +359,7 @@ class Pieces:
     def encode_all(self, texts: Sequence[str | None], keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each has; the keys are those of the documents' draws."""
         sizes = np.zeros(len(texts), np.int64)
-        whole, units, key_parts, row_parts = [], [], [], []
+        whole, units, key_parts, row_parts, group = [], [], [], [], []
 
         def flush() -> None:
             if units:
@@ -306,11 +369,30 @@ class Pieces:
                 for part in (units, key_parts, row_parts):
                     part.clear()
 
+        def cut_group() -> None:
+            if group:
+                rows, documents, of_group = zip(*group)
+                cut, counts = _units_of(of_group)
+                units.extend(cut)
+                key_parts.append(_keyed(np.repeat(np.concatenate(documents), counts), _within(counts)))
+                row_parts.append(np.repeat(rows, counts))
+                group.clear()
+                if len(units) >= BLOCK:
+                    flush()
+
+        in_group = 0
         for row, (text, key) in enumerate(zip(texts, keys)):
             if not text:
                 continue
             digest = hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8, key=str(self.seed).encode()).digest()
             document, place = np.frombuffer(digest, np.uint64), 0
+            if self.unit is UNIT and len(text) < WINDOW:
+                in_group = in_group * bool(group) + len(text)
+                group.append((row, document, " " + text))
+                if in_group >= WINDOW:
+                    cut_group()
+                continue
+            cut_group()
             for some in self._cut(" " + text):
                 units.extend(some)
                 key_parts.append(_keyed(document, np.arange(place, place + len(some))))
@@ -318,6 +400,7 @@ class Pieces:
                 place += len(some)
                 if len(units) >= BLOCK:
                     flush()
+        cut_group()
         flush()
         return np.concatenate(whole) if whole else np.empty(0, np.int32), sizes
 

@@ -150,3 +150,40 @@ def test_copies_of_a_document_differ(spark):
     got = corpus_pipeline.tokens(spark, docs, "").collect()
     assert len(got) == 3 and len({tuple(r["pieces"]) for r in got}) == 3
     assert sorted(map(str, got)) == sorted(map(str, corpus_pipeline.tokens(spark, docs.repartition(3), "").collect()))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" abc.,\n\t12'éß»▁²_"), st.characters()), max_size=40), min_size=1, max_size=6))
+def test_units_of_many_texts_are_cut_at_once_as_the_pattern_cuts_them(texts):
+    """Cutting text by text with the pattern took a sixth of the operator's time."""
+    texts = [" " + text for text in texts]
+    units, counts = pieces._units_of(texts)
+    assert units == [unit for text in texts for unit in pieces.UNIT.findall(text)]
+    assert counts.tolist() == [len(pieces.UNIT.findall(text)) for text in texts]
+
+
+def test_every_character_is_of_one_kind():
+    everything = list(map(chr, range(0x110000)))
+    assert pieces._kinds().tolist() == [
+        2 if c == " " else 3 if c == "\n" else 0 if pieces.re.match(pieces._LETTER, c) else 1 for c in everything]
+    assert all(pieces.re.match(pieces._MARK, c) for c, kind in zip(everything, pieces._kinds().tolist()) if kind == 1)
+
+
+def test_candidates_are_found_in_one_probe_or_few():
+    """Every pair of the merge table and no other, also from slots that several pairs share."""
+    rng = np.random.default_rng(3)
+    pairs = np.array([*PLAIN.merges, *rng.integers(0, 1 << 32, 50_000), -1, -65536], np.int64)
+    found = PLAIN._found(pairs >> 16, pairs & 0xFFFF, np.full(len(pairs), 5))
+    assert found.tolist() == [PLAIN.merges[p] | 5 << pieces._PLACE if p in PLAIN.merges else pieces._NONE for p in pairs.tolist()]
+    slots, candidates, shift = pieces._slots({k: k + 1 for k in range(1000)})
+    assert len(slots) >= 4000 and sorted(slots[slots != pieces._NONE].tolist()) == list(range(1000))
+
+
+@pytest.mark.parametrize("window", [8, 40, pieces.WINDOW])
+def test_texts_in_groups_and_in_windows_have_the_same_pieces(monkeypatch, window):
+    texts = ["a short one", None, "", "  two  spaces \n and lines\n", "x" * 90 + " longer. " * 9, "\n", " ", "end, here!!"] * 3
+    keys = [str(k) for k in range(len(texts))]
+    alone = [ids(VARIED, text, key) if text else [] for text, key in zip(texts, keys)]
+    monkeypatch.setattr(pieces, "WINDOW", window)
+    together, sizes = VARIED.encode_all(texts, keys)
+    assert sizes.tolist() == list(map(len, alone)) and together.tolist() == sum(alone, [])
